@@ -165,7 +165,7 @@ def safe_numeric(spark, sf):
 
 @query(
     "safe_integer",
-    """SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN o_custkey END AS whole, o_totalprice AS mixed FROM orders""",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN o_custkey ELSE -1 END AS whole, o_totalprice AS mixed FROM orders""",
 )
 def safe_integer(spark, sf):
     orders = table(spark, sf, "orders").select(
@@ -175,7 +175,8 @@ def safe_integer(spark, sf):
         .alias("whole"),
         F.col("o_totalprice").cast("string").alias("mixed"),
     )
-    return C.parse_integers(orders, ["whole", "mixed"])
+    parsed = C.parse_integers(orders, ["whole", "mixed"])
+    return parsed.withColumn("whole", F.coalesce("whole", F.lit(-1)))
 
 
 @query(
@@ -198,9 +199,9 @@ def currency(spark, sf):
 
 @query(
     "map_boolean",
-    """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END AS is_verified,
-      CASE o_orderstatus WHEN 'F' THEN FALSE WHEN 'O' THEN TRUE END AS is_unconfirmed,
-      CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END AS bookable,
+    """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'true' WHEN 'O' THEN 'false' END AS is_verified,
+      CASE o_orderstatus WHEN 'F' THEN 'false' WHEN 'O' THEN 'true' END AS is_unconfirmed,
+      CASE o_orderstatus WHEN 'F' THEN 'true' WHEN 'O' THEN 'false' END AS bookable,
       o_orderstatus = 'F' AS is_true FROM orders""",
 )
 def map_boolean(spark, sf):
@@ -208,9 +209,9 @@ def map_boolean(spark, sf):
     text = F.when(F.col("o_orderstatus") == "F", "True").when(F.col("o_orderstatus") == "O", "fALSE")
     return table(spark, sf, "orders").select(
         "o_orderkey",
-        X.flag_from_map(flag, {"verified": True, "unconfirmed": False}).alias("is_verified"),
-        X.flag_from_map(flag, {"verified": False, "unconfirmed": True}).alias("is_unconfirmed"),
-        X.flag_from_text(text).alias("bookable"),
+        X.flag_from_map(flag, {"verified": True, "unconfirmed": False}).cast("string").alias("is_verified"),
+        X.flag_from_map(flag, {"verified": False, "unconfirmed": True}).cast("string").alias("is_unconfirmed"),
+        X.flag_from_text(text).cast("string").alias("bookable"),
         X.is_true_text(text).alias("is_true"),
     )
 
@@ -327,11 +328,11 @@ def sentinel(spark, sf):
 
 @query(
     "date_key",
-    """SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) END AS day_key
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) ELSE 0 END AS day_key
     FROM orders""",
 )
 def date_key(spark, sf):
-    return table(spark, sf, "orders").select("o_orderkey", D.date_key(_holed_day()).alias("day_key"))
+    return table(spark, sf, "orders").select("o_orderkey", F.coalesce(D.date_key(_holed_day()), F.lit(0)).alias("day_key"))
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geomart.operators.dedupe import collect_new, enrich, union_all, work_list
-from geomart.queries.base import PART_AT, coords, coords_sql, query, table
+from geomart.queries.base import PART_AT, coords, coords_sql, null_every, query, table
 from geomart.session import scratch_path
 from geomart.sources import files
 from geomart.sources.tables import FolderTables, first_rows, replace_append
@@ -32,11 +32,11 @@ _la, _lo = coords_sql(*PART_AT)
     "flatten_nested_json",
     f"""SELECT 'p' || p_partkey AS fsq_id, p_name AS name, {_la} AS latitude, {_lo} AS longitude,
       CASE WHEN p_size % 5 <> 0 THEN p_type END AS category_main_name,
-      CASE WHEN p_size % 5 <> 0 THEN CAST(p_size AS BIGINT) END AS category_main_id,
+      CASE WHEN p_size % 5 <> 0 THEN CAST(p_size AS BIGINT) ELSE -1 END AS category_main_id,
       CASE WHEN p_size % 5 <> 0 THEN '[{{"id":' || p_size || ',"name":"' || p_type || '"}},{{"id":0,"name":"any"}}]'
         ELSE '[]' END AS all_categories,
       p_name || ', ' || p_brand AS address, p_brand AS locality, 'NY' AS region, p_brand AS area_searched,
-      p_size AS price_tier, p_retailprice AS rating, CAST(NULL AS DOUBLE) AS popularity_score,
+      p_size AS price_tier, p_retailprice AS rating, CASE WHEN p_size % 3 <> 0 THEN p_retailprice / 100 END AS popularity_score,
       CAST(p_size * 2 AS INTEGER) AS tips_count
     FROM part""",
 )
@@ -61,7 +61,7 @@ def flatten(spark, sf):
         ).alias("location"),
         F.col("p_size").alias("price"),
         F.col("p_retailprice").alias("rating"),
-        F.lit(None).cast("double").alias("popularity"),
+        null_every(3, "p_size", F.col("p_retailprice") / 100).alias("popularity"),
         F.struct((F.col("p_size") * 2).cast("int").alias("total_tips")).alias("stats"),
     )
     # Pages of at most 50 results: neighbouring keys of one brand.
@@ -72,7 +72,8 @@ def flatten(spark, sf):
     )
     path = scratch_path(spark, "pages")
     pages.write.json(path)
-    return files.flatten_places(files.read_pages(spark, path, max_page=None))
+    flat = files.flatten_places(files.read_pages(spark, path, max_page=None))
+    return flat.withColumn("category_main_id", F.coalesce("category_main_id", F.lit(-1)))
 
 
 @query(

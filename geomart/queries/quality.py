@@ -45,8 +45,8 @@ def _check(position: int, kind: str, column: str, bad: str, base: str) -> str:
 
 
 def _presence(position: int, column: str, there: str) -> str:
-    return f"""SELECT CAST({position} AS INTEGER), '{Q.EXISTS}', '{column}', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
-      CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), {there}"""
+    return f"""SELECT CAST({position} AS INTEGER), '{Q.EXISTS}', '{column}', CAST(-1 AS BIGINT), CAST(-1 AS BIGINT),
+      CAST(-1 AS BIGINT), CAST(NULL AS DOUBLE), {there}"""
 
 
 @query(
@@ -63,7 +63,10 @@ def _presence(position: int, column: str, there: str) -> str:
 )
 def dq_suite(spark, sf):
     suite = Q.Suite.from_json(SUITE.to_json())
-    return Q.validate(_customers(spark, sf), suite).withColumn("unexpected_percent", F.round("unexpected_percent", 6))
+    counts = ("element_count", "null_count", "unexpected_count")
+    return Q.validate(_customers(spark, sf), suite).withColumns(
+        {c: F.coalesce(c, F.lit(-1)) for c in counts} | {"unexpected_percent": F.round("unexpected_percent", 6)}
+    )
 
 
 @query(

@@ -73,13 +73,14 @@ def _listings(spark, sf):
     """SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderkey AS publication_key, o_totalprice AS price,
       CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN NULL
         ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END AS last_review_date,
-      CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 3 = 1 END AS host_verification,
-      CASE o_orderkey % 4 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS instant_bookable_flag
+      CASE o_orderkey % 3 WHEN 1 THEN 'true' WHEN 2 THEN 'false' END AS host_verification,
+      CASE o_orderkey % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS instant_bookable_flag
     FROM orders""",
 )
 def stream_shape(spark, sf):
     records = to_records(_listings(spark, sf), "publication_key")
-    return S.shape(S.decode(records, LISTING), LISTING, names={"last_review": "last_review_date"})
+    shaped = S.shape(S.decode(records, LISTING), LISTING, names={"last_review": "last_review_date"})
+    return shaped.withColumns({c: F.col(c).cast("string") for c in ("host_verification", "instant_bookable_flag")})
 
 
 EVENT = (
@@ -112,7 +113,7 @@ _text = """(SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'not json' WHEN ev
 @query(
     "stream_dead_letter",
     f"""SELECT CAST(event_id AS VARCHAR) AS key, CASE WHEN event_id % 10 < 3 THEN value END AS value,
-      CASE WHEN event_id % 10 >= 3 THEN event_id END AS event_id FROM {_text}""",
+      CASE WHEN event_id % 10 >= 3 THEN event_id ELSE -1 END AS event_id FROM {_text}""",
 )
 def stream_dead_letter(spark, sf):
     k = F.col("event_id")
@@ -130,4 +131,5 @@ def stream_dead_letter(spark, sf):
     run.awaitTermination()
     dead = spark.read.parquet(f"{base}/dead").select("key", "value")
     good = spark.read.parquet(f"{base}/out").select("key", "event_id")
-    return dead.unionByName(good, allowMissingColumns=True)
+    both = dead.unionByName(good, allowMissingColumns=True)
+    return both.withColumn("event_id", F.coalesce("event_id", F.lit(-1)))
