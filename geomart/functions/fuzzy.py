@@ -7,10 +7,16 @@ the standardiser calls on distinct values only.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Send the scorers themselves to the workers, which then need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The weights of the token, partial and long-partial scores, and the length
 # ratios at which the partial scores come in and are weakened.
 TOKEN_WEIGHT = 0.95

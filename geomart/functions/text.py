@@ -25,11 +25,11 @@ def clean_text(c: Column, null_tokens: Iterable[str] = NULL_TOKENS) -> Column:
 def to_number(c: Column) -> Column:
     """Text to double; what is not a number (NaN included) becomes NULL.
 
-    Java's float suffixes (``1.0d``) would be accepted by the cast, hence the last-letter test.
+    The cast trims blanks itself. It would also take Java's float suffixes (``1.0d``), so
+    those letters, which no decimal number holds, are spoiled first.
     """
-    text = strip(c.cast("string"))
-    number = text.try_cast("double")
-    return F.when(~F.isnan(number) & ~F.lower(F.right(text, F.lit(1))).isin("d", "f"), number)
+    text = F.translate(c.cast("string"), "dDfF", "####")
+    return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
 
 
 def to_whole_number(c: Column) -> Column:

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geomart.operators.skew import salted_join
+from geomart.session import materialize
 
 SAMPLE_PER_BUCKET = 32
+MAX_BUCKETS = 8192
 
 
 def _with_range_bucket(df: DataFrame, order_by: list[str], buckets: int) -> DataFrame:
@@ -36,14 +38,25 @@ def _with_range_bucket(df: DataFrame, order_by: list[str], buckets: int) -> Data
 
 
 def running_total(
-    df: DataFrame, order_by: list[str], out: str, weight: str | None = None, buckets: int | None = None
+    df: DataFrame,
+    order_by: list[str],
+    out: str,
+    weight: str | None = None,
+    buckets: int | None = None,
+    settle: bool = False,
 ) -> DataFrame:
     """Add ``out``: the sum of ``weight`` (1 per row by default) over all rows before this one.
 
     ``order_by`` must identify a row. Rows are cut into even ranges of the order key; each
     range is numbered on its own and shifted by the total of the ranges before it.
+
+    The frame is read three times (sample, totals, numbering); ``settle`` writes it once
+    first, for frames that are costly to compute.
     """
-    buckets = buckets or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if settle:
+        df = materialize(df, "settled")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or min(2 * tasks, MAX_BUCKETS)
     amount = F.col(weight) if weight else F.lit(1)
     bucketed = _with_range_bucket(df, order_by, buckets)
     totals = bucketed.groupBy("__bucket").agg(F.sum(amount).cast("long").alias("n"))
@@ -73,16 +86,18 @@ def running_total(
     )
 
 
-def dense_key(df: DataFrame, key: str, order_by: list[str], start: int = 1) -> DataFrame:
+def dense_key(
+    df: DataFrame, key: str, order_by: list[str], start: int | Column = 1, settle: bool = False
+) -> DataFrame:
     """Add a gap-free number from ``start`` in the order of ``order_by`` (which must be unique)."""
-    return running_total(df.drop(key), order_by, "__position").withColumn(
-        key, F.col("__position") + F.lit(start)
-    ).drop("__position")
+    numbered = running_total(df.drop(key), order_by, "__position", settle=settle)
+    return numbered.withColumn(key, F.col("__position") + F.lit(start)).drop("__position")
 
 
 def code_table(df: DataFrame, column: str, code: str = "code") -> DataFrame:
     """One row per distinct non-null value with a dense code from 0, in value order."""
-    return dense_key(df.select(column).where(F.col(column).isNotNull()).distinct(), code, [column], start=0)
+    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    return dense_key(values, code, [column], start=0, settle=True)
 
 
 def category_encode(df: DataFrame, column: str, code: str, limit: int = 50) -> DataFrame:
@@ -93,8 +108,3 @@ def category_encode(df: DataFrame, column: str, code: str, limit: int = 50) -> D
     codes = code_table(df, column, code)
     few = codes.agg(F.count(F.lit(1))).scalar() < limit
     return salted_join(df, codes.where(few), [column], "left")
-
-
-def order_key(*columns: str) -> Column:
-    """Order key with a hash of the row as last resort for frames without a unique column."""
-    return F.struct(*columns, F.xxhash64("*"))

@@ -68,7 +68,7 @@ def knn_join(
     place_at: tuple[str, str] = ("latitude", "longitude"),
     carry: tuple[str, ...] = ("category_group",),
     leaf_size: int = 16,
-    fan_out: int = 8,
+    fan_out: int = 16,
 ) -> DataFrame:
     """(listing_id, place_id, distance_km, *carry), ``k`` rows per listing with coordinates.
 
@@ -86,16 +86,16 @@ def knn_join(
     for axis, c in zip(AXES, unit_vector(F.col("p_lat"), F.col("p_lon"))):
         spots = spots.withColumn(axis, c)
     spots = spots.withColumn("curve", hilbert_position(F.col("p_lat"), F.col("p_lon")))
-    ranked = running_total(spots, ["curve", "place_id"], "position").withColumn(
+    ranked = running_total(spots, ["curve", "place_id"], "position", settle=True).withColumn(
         "node", F.floor(F.col("position") / leaf_size)
     )
     ranked = materialize(ranked.drop("position", "curve"), "knn-places")
 
     n_nodes = -(-ranked.count() // leaf_size)
-    levels = [_boxes(ranked, F.col("node"), first=True)]
+    leaves = materialize(_boxes(ranked, F.col("node"), first=True), "knn-boxes")
+    levels = [leaves]
     while n_nodes > fan_out:
-        levels[-1] = materialize(levels[-1], "knn-boxes")
-        levels.append(_boxes(levels[-1], F.floor(F.col("node") / fan_out), first=False))
+        levels.append(_boxes(leaves, F.floor(F.col("node") / fan_out ** len(levels)), first=False))
         n_nodes = -(-n_nodes // fan_out)
     top = levels[-1].collect()  # at most fan_out rows
     box_type = "array<struct<" + ",".join(f"{n}:{t}" for n, t in levels[-1].dtypes) + ">>"

@@ -48,7 +48,7 @@ def dim_host(df: DataFrame, order_by: list[str]) -> DataFrame:
     """One row per host, the first in ``order_by``, with a dense key."""
     hosts = first_per_key(require_columns(df, [*dict.fromkeys([*HOST_COLUMNS, *order_by])]), ["host_id"], order_by)
     hosts = hosts.select(*HOST_COLUMNS).withColumn("host_verification", verified_flag(F.col("host_verification")))
-    return dense_key(hosts, "host_key", ["host_id"]).select("host_key", *HOST_COLUMNS)
+    return dense_key(hosts, "host_key", ["host_id"], settle=True).select("host_key", *HOST_COLUMNS)
 
 
 def dim_location(df: DataFrame) -> DataFrame:
@@ -62,7 +62,7 @@ def dim_location(df: DataFrame) -> DataFrame:
     places = rows.dropna(subset=["listing_lat", "listing_long"]).distinct()
     names = {"neighbourhood_group": "listing_neighbourhood_group", "neighbourhood": "listing_neighbourhood"}
     columns = ["listing_neighbourhood_group", "listing_neighbourhood", "listing_lat", "listing_long"]
-    return dense_key(places.withColumnsRenamed(names), "property_location_key", columns).select(
+    return dense_key(places.withColumnsRenamed(names), "property_location_key", columns, settle=True).select(
         "property_location_key", *columns
     )
 
@@ -152,7 +152,7 @@ def upsert_dimension(
     fresh = first_per_key(incoming, natural, order_by).select(*attributes)
     fresh = fresh.join(dim.select(*natural), natural, "left_anti")
     top = dim.agg(F.coalesce(F.max(key), F.lit(0)).cast("long")).scalar()
-    return dim.unionByName(dense_key(fresh, key, natural, start=top + 1).select(*dim.columns))
+    return dim.unionByName(dense_key(fresh, key, natural, start=top + 1, settle=True).select(*dim.columns))
 
 
 def build_star(df: DataFrame) -> dict[str, DataFrame]:

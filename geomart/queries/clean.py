@@ -12,6 +12,8 @@ from geomart.operators.mapping import category_map, changed_count, fuzzy_standar
 from geomart.operators.profile import impute_median_mode
 from geomart.plans.cleaning import clean_listings, clean_places
 from geomart.queries.base import SUPPLIER_AT, coords, coords_sql, null_every, null_every_sql, query, table
+from geomart.session import scratch_path
+from geomart.sources import files
 
 
 @query(
@@ -474,5 +476,8 @@ _l, _o = coords_sql("o_orderkey", 37, 91)
     FROM orders WHERE o_orderkey % 50 <> 0 AND o_orderkey % 18 <> 0""",
 )
 def listings_clean(spark, sf):
-    clean = clean_listings(raw_listings(spark, sf))
+    landed = scratch_path(spark, "listings-csv")
+    raw = raw_listings(spark, sf)
+    files.write_csv(raw, landed, encoding="ISO-8859-1")
+    clean = clean_listings(files.read_csv(spark, landed, raw.schema).drop(files.CORRUPT))
     return clean.withColumn("last_review", F.date_format("last_review", "yyyy-MM-dd"))
