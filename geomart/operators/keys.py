@@ -27,14 +27,20 @@ def _with_range_bucket(df: DataFrame, order_by: list[str], buckets: int) -> Data
         .select(F.filter("p", lambda _, i: i % SAMPLE_PER_BUCKET == SAMPLE_PER_BUCKET - 1).alias("p"))
     )
     steps = F.array(*[F.lit(1 << b) for b in reversed(range(buckets.bit_length()))])
+    points = materialize(points, "split-points")  # one row, read by both later passes
     located = df.withColumn("__points", points.scalar())
-    search = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda found, step: found
-        + F.when(F.get("__points", found + step - 1) <= key, step).otherwise(F.lit(0)),
-    )
-    return located.withColumn("__bucket", search).drop("__points")
+
+
+    def search(at: Column) -> Column:
+        return F.aggregate(
+            steps,
+            F.lit(0),
+            lambda found, step: found
+            + F.when(F.get("__points", found + step - 1) <= at, step).otherwise(F.lit(0)),
+        )
+
+    # The one-element transform builds the key once per row instead of once per step.
+    return located.withColumn("__bucket", F.get(F.transform(F.array(key), search), F.lit(0))).drop("__points")
 
 
 def running_total(

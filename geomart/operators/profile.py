@@ -121,7 +121,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
     """
     values = _long(df, columns, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
     counted = _counts_around(values, shares)
-    ranked = running_total(counted, ["column_name", "value"], "before", weight="n")
+    ranked = running_total(counted, ["column_name", "value"], "before", weight="n", settle=True)
     sizes = ranked.groupBy("column_name").agg(F.min("before").alias("start"), F.sum("n").alias("total"))
     placed = ranked.join(F.broadcast(sizes), "column_name").withColumn("before", F.col("before") - F.col("start"))
 
