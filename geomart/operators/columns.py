@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,6 +95,19 @@ def clean_text_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: clean_text(F.col(c)) for c in columns if c in df.columns})
 
 
+def parse_observed(df: DataFrame, parsed: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """Replace columns by their parsed form and count the NULLs this makes on the way.
+
+    The counts are in the observation once the frame has been written or counted, without
+    a pass of their own.
+    """
+    made = Observation()
+    fresh = {f"__{name}": expr for name, expr in parsed.items()}
+    counts = [F.count_if(F.col(n).isNotNull() & F.col(f"__{n}").isNull()).alias(n) for n in parsed]
+    watched = df.withColumns(fresh).observe(made, *counts)
+    return watched.withColumns({n: F.col(f"__{n}") for n in parsed}).drop(*fresh), made
+
+
 def coercion_report(raw: DataFrame, parsed: Mapping[str, Column]) -> DataFrame:
     """Per column: NULLs before, NULLs after and NULLs made by parsing. One pass."""
     stats = []

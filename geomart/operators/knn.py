@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geomart.functions.geo import haversine_km, hilbert_position, unit_vector
+from geomart.functions.geo import grid_cell, haversine_km, hilbert_position, unit_vector
 from geomart.operators.keys import running_total
 from geomart.operators.skew import first_per_key, salted_join
 from geomart.session import materialize
@@ -151,8 +151,6 @@ def geo_center(df: DataFrame, lat: str, lon: str) -> DataFrame:
 
 def geo_heat_grid(df: DataFrame, lat: str, lon: str, step: float) -> DataFrame:
     """Number of points per grid cell; a cell is named by its lower corner."""
-    from geomart.functions.geo import grid_cell
-
     return (
         df.dropna(subset=[lat, lon])
         .groupBy(grid_cell(F.col(lat), step).alias("cell_lat"), grid_cell(F.col(lon), step).alias("cell_lon"))

@@ -23,6 +23,23 @@ CATEGORY_GROUPS = (
 OTHER_GROUP = "Other"
 
 
+MAX_GROUP_ROWS = 10_000
+
+
+def groups_from_table(table: DataFrame, group: str, value: str, priority: str) -> dict[str, list[str]]:
+    """The lists for ``category_map`` from a small table, in the order of ``priority``.
+
+    A table of more than 10,000 rows is an error: it belongs in a join, not in a list.
+    """
+    rows = table.select(group, value, priority).orderBy(priority, value).limit(MAX_GROUP_ROWS + 1).collect()
+    if len(rows) > MAX_GROUP_ROWS:
+        raise ValueError(f"more than {MAX_GROUP_ROWS} category values")
+    groups: dict[str, list[str]] = {}
+    for r in rows:
+        groups.setdefault(r[group], []).append(r[value])
+    return groups
+
+
 def category_map(
     df: DataFrame, column: str, out: str, groups: Mapping[str, Sequence[str]], other: str = OTHER_GROUP
 ) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,6 +71,14 @@ class Suite:
             )
         return Suite(data["expectation_suite_name"], tuple(items))
 
+    @staticmethod
+    def load(path: str) -> Suite:
+        return Suite.from_json(Path(path).read_text(encoding="utf-8"))
+
+    def save(self, path: str) -> None:
+        """Create the suite file or replace it."""
+        Path(path).write_text(self.to_json(), encoding="utf-8")
+
     def to_json(self) -> str:
         items = []
         for e in self.expectations:

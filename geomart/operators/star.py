@@ -34,10 +34,10 @@ LOAD_ORDER = ("dim_host", "dim_property_location", "dim_property", "dim_date", "
 
 
 def verified_flag(c: Column) -> Column:
-    """Text ``verified`` (any case), or any other non-empty text or true flag, is true; NULL is kept."""
-    return F.when(c.cast("string").isNull(), F.lit(None)).otherwise(
-        ~F.lower(c.cast("string")).isin("", "false", "0")
-    )
+    """Truth of a flag or number, any non-empty text (``verified`` among them); NULL is false."""
+    text = c.cast("string")
+    true = F.when(F.typeof(c) == "string", text != "").otherwise(~text.isin("false", "0", "0.0"))
+    return F.coalesce(true, F.lit(False))
 
 
 def coordinate(c: Column) -> Column:

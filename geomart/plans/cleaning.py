@@ -62,7 +62,9 @@ UNUSED_PLACE_COLUMNS = (
 )
 
 
-def clean_listings(raw: DataFrame, order_by: Sequence[str] | None = None, scorer: str = "weighted") -> DataFrame:
+def clean_listings(
+    raw: DataFrame, order_by: Sequence[str] | None = None, scorer: str = "weighted", date_format: str = "M/d/yyyy"
+) -> DataFrame:
     """Raw listings (all text) to the typed, filled table.
 
     With ``order_by`` (unique columns) the listing and host keys are replaced by positions
@@ -85,7 +87,7 @@ def clean_listings(raw: DataFrame, order_by: Sequence[str] | None = None, scorer
     df = fuzzy_standardize(df, "neighbourhood_group", BOROUGHS, BOROUGH_CUTOFF, scorer)
     df = df.withColumns(
         {
-            "last_review": parse_date(F.col("last_review")),
+            "last_review": parse_date(F.col("last_review"), date_format),
             "host_verification": flag_from_map(
                 F.col("host_identity_verified"), {"verified": True, "unconfirmed": False}
             ),

@@ -93,7 +93,10 @@ def test_empty_input_stops_the_run(spark, tmp_path):
 
 def test_verified_flag(spark):
     df = spark.createDataFrame([("Verified",), ("false",), ("",), (None,)], "v string")
-    assert [r[0] for r in df.select(M.verified_flag(F.col("v"))).collect()] == [True, False, False, None]
+    assert [r[0] for r in df.select(M.verified_flag(F.col("v"))).collect()] == [True, True, False, False]
+    flags = spark.createDataFrame([(True, 0), (False, 2), (None, None)], "b boolean, n int")
+    got = flags.select(M.verified_flag(F.col("b")), M.verified_flag(F.col("n"))).collect()
+    assert [tuple(r) for r in got] == [(True, False), (False, True), (False, False)]
 
 
 def test_upsert_dimension(spark):

@@ -9,11 +9,12 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from geomart.functions.text import to_number
 from geomart.operators import columns as C
 from geomart.operators import profile as P
 from geomart.operators.dedupe import collect_new, duplicate_count, union_all, work_list
 from geomart.operators.keys import category_encode, dense_key, running_total
-from geomart.operators.mapping import category_map, fuzzy_standardize
+from geomart.operators.mapping import category_map, fuzzy_standardize, groups_from_table
 from geomart.operators.reshape import count_column, left_join_fill, pivot_counts
 from geomart.operators.skew import first_per_key, salted_join
 
@@ -49,6 +50,13 @@ def test_parse_integers(spark):
     assert rows(C.parse_integers(df, ["b"], strict=True).select("b")) == [(None,), (2,)]
 
 
+def test_parse_observed_counts_new_nulls(spark):
+    df = spark.createDataFrame([("1",), ("x",), (None,), ("y",)], "a string")
+    parsed, made = C.parse_observed(df, {"a": to_number(F.col("a"))})
+    assert rows(parsed) == [(None,), (None,), (None,), (1.0,)]
+    assert made.get == {"a": 2}
+
+
 def test_columns_of_type(spark):
     df = spark.createDataFrame([], "a int, b string, c boolean, d date, e timestamp, f decimal(5,2)")
     assert C.columns_of_type(df, "numeric") == ["a", "f"]
@@ -112,6 +120,15 @@ def test_category_map_first_list_wins(spark):
     assert got == {"Wine Store": "restaurants", "Bar": "bars_&_clubs", "Bank": "Other", None: "Other"}
 
 
+def test_groups_from_table(spark):
+    table = spark.createDataFrame([("bars", "Bar", 2), ("food", "Deli", 1), ("bars", "Deli", 2)], "g string, v string, p int")
+    groups = groups_from_table(table, "g", "v", "p")
+    assert list(groups.items()) == [("food", ["Deli"]), ("bars", ["Bar", "Deli"])]
+    big = spark.range(10_001).selectExpr("'g' AS g", "string(id) AS v", "1 AS p")
+    with pytest.raises(ValueError, match="10000"):
+        groups_from_table(big, "g", "v", "p")
+
+
 def test_fuzzy_standardize(spark):
     names = ["Manhattan", "Brooklyn", "Queens", "Bronx", "Staten Island"]
     df = spark.createDataFrame([(1, "brookln"), (2, "manhatan"), (3, "Paris"), (4, None), (5, "Queens")], "i int, v string")

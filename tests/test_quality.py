@@ -50,9 +50,11 @@ def test_split_and_gate(spark):
     assert Q.gate(data(spark), ok).count() == 4
 
 
-def test_suite_json_round_trip():
+def test_suite_json_round_trip(tmp_path):
+    path = str(tmp_path / "suite.json")
     for suite in (Q.LISTINGS_SUITE, Q.PLACES_SUITE, SUITE):
-        assert Q.Suite.from_json(suite.to_json()) == suite
+        suite.save(path)
+        assert Q.Suite.load(path) == suite
 
 
 def test_constraints(spark):

@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import types as T
 
 from geomart.sources import files
-from geomart.sources.tables import FolderTables, load_star, replace_append
+from geomart.sources.tables import CatalogTables, FolderTables, first_rows, load_star, replace_append
 
 
 def test_csv_encodings_and_bad_lines(spark, tmp_path):
@@ -73,3 +73,18 @@ def test_replace_append(spark, tmp_path):
     assert rows(replace_append(df, target, "t")) == [(1,)]
     target.append("t", df)
     assert rows(target.read("t")) == [(1,), (1,)]
+
+
+def test_catalog_tables(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE mart LOCATION '{tmp_path}'")
+    try:
+        target = CatalogTables(spark, "mart")
+        df = spark.createDataFrame([(2,), (1,)], "k int")
+        assert not target.exists("dim_host")
+        for _ in range(2):
+            assert load_star({"dim_host": df}, target) == ["dim_host"]
+        assert target.exists("dim_host") and rows(target.read("dim_host")) == [(1,), (2,)]
+        assert rows(spark.sql("SELECT * FROM mart.dim_host ORDER BY k LIMIT 1")) == [(1,)]
+        assert rows(first_rows(target.read("dim_host"), ["k"], 1)) == [(1,)]
+    finally:
+        spark.sql("DROP DATABASE mart CASCADE")
