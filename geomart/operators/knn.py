@@ -1,20 +1,24 @@
 """Exact k nearest places of every listing, by great-circle distance.
 
-The places are put in Hilbert order and cut into leaves of equal size; boxes around the leaves,
-around groups of leaves and so on form a packed R-tree held in DataFrames. A listing
-starts at the top boxes, at most ``fan_out`` of them, and goes down by equi-joins on the
-box number; the upper levels are small enough for Spark to broadcast by their size. A box is left out only when its nearest point is farther than a distance
-within which k places are known to lie, so the result is exact. Every box has the same
-number of children and every leaf the same number of places, however the places cluster.
+The places are put in Hilbert order and cut into leaves of equal size; boxes around the
+leaves, around groups of leaves and so on form a packed R-tree held in DataFrames. A
+listing starts at the top boxes, at most ``fan_out`` of them, and goes down by equi-joins
+on the box number; the upper levels are small enough for Spark to broadcast by their size.
+A box is left out only when its nearest point is farther than a distance within which k
+places are known to lie, so the result is exact. Every box has the same number of children
+and every leaf the same number of places, however the places cluster.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geomart.functions.geo import grid_cell, haversine_km, hilbert_position, unit_vector
 from geomart.operators.keys import running_total
+from geomart.operators.reshape import count_column
 from geomart.operators.skew import first_per_key, salted_join
 from geomart.session import materialize
 
@@ -57,12 +61,11 @@ def _tighten(front: DataFrame, k: int) -> DataFrame:
     )
 
 
-def knn_join(
+def nearest_per_spot(
     listings: DataFrame,
     places: DataFrame,
     k: int = 5,
     *,
-    listing_id: str = "id",
     listing_at: tuple[str, str] = ("lat", "long"),
     place_id: str = "fsq_id",
     place_at: tuple[str, str] = ("latitude", "longitude"),
@@ -70,9 +73,10 @@ def knn_join(
     leaf_size: int = 16,
     fan_out: int = 16,
 ) -> DataFrame:
-    """(listing_id, place_id, distance_km, *carry), ``k`` rows per listing with coordinates.
+    """(lat, lon, near): for each distinct listing spot its ``k`` nearest places as an array.
 
-    Ties go to the smaller place id. With fewer than ``k`` places all of them are returned.
+    An item of ``near`` is (place_id, distance_km, *carry). Ties go to the smaller place id.
+    With fewer than ``k`` places all of them are returned.
     """
     leaf_size = max(leaf_size, k)
     # Places at one spot tie with each other: only the k smallest ids can be among the nearest.
@@ -134,15 +138,61 @@ def knn_join(
         )
     )
     nearest = first_per_key(pairs, ["lat", "lon"], ["distance_km", "place_id"], k)
-    packed = nearest.groupBy("lat", "lon").agg(
+    return nearest.groupBy("lat", "lon").agg(
         F.collect_list(F.struct("place_id", "distance_km", *carry)).alias("near")  # at most k
     )
-    keyed = listings.select(
-        F.col(listing_id).alias("listing_id"),
-        F.col(listing_at[0]).cast("double").alias("lat"),
-        F.col(listing_at[1]).cast("double").alias("lon"),
+
+
+def _spot(at: tuple[str, str]) -> dict[str, Column]:
+    return {"__lat": F.col(at[0]).cast("double"), "__lon": F.col(at[1]).cast("double")}
+
+
+def knn_join(
+    listings: DataFrame,
+    places: DataFrame,
+    k: int = 5,
+    *,
+    listing_id: str = "id",
+    listing_at: tuple[str, str] = ("lat", "long"),
+    **search,
+) -> DataFrame:
+    """(listing_id, place_id, distance_km, *carry), ``k`` rows per listing with coordinates.
+
+    ``search`` goes to ``nearest_per_spot``.
+    """
+    near = nearest_per_spot(listings, places, k, listing_at=listing_at, **search)
+    keyed = listings.withColumns(_spot(listing_at)).select(F.col(listing_id).alias("listing_id"), "__lat", "__lon")
+    joined = salted_join(keyed, near.toDF("__lat", "__lon", "near"), ["__lat", "__lon"])
+    return joined.select("listing_id", F.inline("near"))
+
+
+def with_nearby_counts(
+    listings: DataFrame,
+    places: DataFrame,
+    k: int,
+    groups: Sequence[str],
+    *,
+    group: str = "category_group",
+    listing_at: tuple[str, str] = ("lat", "long"),
+    **search,
+) -> DataFrame:
+    """Listings plus, per group, how many of their ``k`` nearest places belong to it.
+
+    Equals ``knn_join``, ``pivot_counts`` and ``left_join_fill`` in a row, but counts inside
+    the array of neighbours: one join to the listings and no shuffle after it.
+    """
+
+    def belongs_to(name: str):
+        return lambda place: place[group] == name
+
+    near = nearest_per_spot(listings, places, k, listing_at=listing_at, carry=(group,), **search)
+    counts = near.select(
+        F.col("lat").alias("__lat"),
+        F.col("lon").alias("__lon"),
+        *[F.size(F.filter("near", belongs_to(g))).alias(count_column(g)) for g in groups],
     )
-    return salted_join(keyed, packed, ["lat", "lon"]).select("listing_id", F.inline("near"))
+    joined = salted_join(listings.withColumns(_spot(listing_at)), counts, ["__lat", "__lon"], "left")
+    return joined.select(*listings.columns, *[F.coalesce(c, F.lit(0)).alias(c) for c in map(count_column, groups)])
 
 
 def geo_center(df: DataFrame, lat: str, lon: str) -> DataFrame:

@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geomart.functions.dates import date_key
-from geomart.operators.knn import knn_join
+from geomart.operators.knn import with_nearby_counts
 from geomart.operators.mapping import CATEGORY_GROUPS
 from geomart.operators.quality import LISTINGS_SUITE, PLACES_SUITE, gate
-from geomart.operators.reshape import left_join_fill, pivot_counts
 from geomart.operators.star import WRITTEN_DIMENSIONS, build_star
 from geomart.plans.cleaning import clean_listings, clean_places
 from geomart.session import materialize
@@ -24,17 +23,14 @@ def wide_table(
     places: DataFrame,
     k: int = 5,
     groups: Sequence[str] = CATEGORY_GROUPS,
+    listing_id: str = "id",
     **at,
 ) -> DataFrame:
     """Listings with the number of their k nearest places per group.
 
     Both inputs must have rows: without places every listing gets zeros.
     """
-    near = knn_join(listings, places, k, **at)
-    counts = pivot_counts(near, "listing_id", "category_group", "place_id", groups)
-    key = at.get("listing_id", "id")
-    renamed = listings.withColumnRenamed(key, "publication_key")
-    wide = left_join_fill(renamed, counts.withColumnRenamed("listing_id", "publication_key"), "publication_key")
+    wide = with_nearby_counts(listings, places, k, groups, **at).withColumnRenamed(listing_id, "publication_key")
     if "last_review" in wide.columns:
         wide = wide.withColumn("last_review", date_key(F.col("last_review")))
     return wide

@@ -6,7 +6,8 @@ import random
 import pytest
 from conftest import rows
 
-from geomart.operators.knn import knn_join
+from geomart.operators.knn import knn_join, with_nearby_counts
+from geomart.operators.reshape import left_join_fill, pivot_counts
 
 
 def brute(listings, places, k):
@@ -70,6 +71,19 @@ def test_one_spot_holds_a_third_of_both_sides(spark):
     compare(spark, listings, places, leaf_size=5, fan_out=4)
 
 
+def test_counts_equal_join_pivot_and_fill(spark):
+    rng = random.Random(11)
+    listings = [(i, *(city(rng) if i % 4 else (40.7, -74.0))) for i in range(60)] + [(99, None, 1.0)]
+    places = [(i, *city(rng), ("restaurants", "parks_&_outdoor", "Other")[i % 3]) for i in range(80)]
+    left, right = frames(spark, listings, places)
+    groups = ["restaurants", "parks_&_outdoor", "landmarks"]
+    pivoted = pivot_counts(knn_join(left, right, 4), "listing_id", "category_group", "place_id", groups)
+    want = left_join_fill(left, pivoted.withColumnRenamed("listing_id", "id"), "id")
+    got = with_nearby_counts(left, right, 4, groups)
+    assert got.columns == want.columns and rows(got) == rows(want)
+    assert [tuple(r)[3:] for r in got.where("id = 99").collect()] == [(0, 0, 0)]
+
+
 def test_fewer_places_than_k(spark):
     listings, places = [(1, 0.0, 0.0), (2, 10.0, 10.0)], [(1, 0.0, 1.0, "a"), (2, 0.0, -1.0, "b")]
     compare(spark, listings, places, k=5)
