@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geomart.llm import bpe
+from geomart.llm import bpe, decontaminate
 from geomart.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(
         read(spark, sf_dir, "documents"), tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     )
+
+
+@query("op8_decontamination")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 13 words of the benchmark items in every document."""
+    return decontaminate.flag(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
