@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geomart.llm import bpe, decontaminate
+from geomart.llm import bpe, compression, decontaminate, lattice, secrets
 from geomart.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,21 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 13 words of the benchmark items in every document."""
     return decontaminate.flag(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op10_lattice_lm")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document, by words and over all subword segmentations."""
+    return lattice.score(read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@query("op2_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality of every document from its sizes under two dictionaries."""
+    return compression.predict(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op1_secrets")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: the rules' hits and what the random field adds."""
+    return secrets.scan(read(spark, sf_dir, "documents"))
