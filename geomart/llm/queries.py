@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geomart.llm import bpe, compression, decontaminate, lattice, secrets
+from geomart.llm import bpe, compression, decontaminate, lattice, secrets, warc
 from geomart.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,22 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: the rules' hits and what the random field adds."""
     return secrets.scan(read(spark, sf_dir, "documents"))
+
+
+@query(
+    "op3_warc",
+    """
+    WITH p AS (
+      SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages
+    ), q AS (
+      SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
+        CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY html) ELSE page_id END AS smallest FROM p
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+      CASE WHEN smallest = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN smallest <> page_id THEN smallest END AS refers_to FROM q
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, written and read back."""
+    return warc.round_trip(read(spark, sf_dir, "pages")).drop("url")
