@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geomart.llm import bpe, compression, decontaminate, lattice, secrets, warc
+from geomart.llm import bpe, compression, decontaminate, lattice, neardup, secrets, warc
 from geomart.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record, written and read back."""
     return warc.round_trip(read(spark, sf_dir, "pages")).drop("url")
+
+
+@query("op5_neardup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingle sets are similar."""
+    return neardup.cluster(read(spark, sf_dir, "documents"))
