@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geomart.llm import bpe, compression, decontaminate, lattice, neardup, secrets, warc
+from geomart.llm import bpe, compression, decontaminate, lattice, neardup, repeats, secrets, warc
 from geomart.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose shingle sets are similar."""
     return neardup.cluster(read(spark, sf_dir, "documents"))
+
+
+@query("op9_repeats")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that an earlier document holds in a run of 50 or more."""
+    return repeats.summary(read(spark, sf_dir, "documents"))
