@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geomart.llm import bpe, compression, decontaminate, lattice, neardup, repeats, secrets, warc
+from geomart.llm import bpe, compression, decontaminate, lattice, neardup, repeats, secrets, tokenfiles, warc
 from geomart.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that an earlier document holds in a run of 50 or more."""
     return repeats.summary(read(spark, sf_dir, "documents"))
+
+
+@query("op6_token_files")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to compressed files and read back."""
+    return tokenfiles.round_trip(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
