@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geomart.llm import bpe, compression, decontaminate, lattice, neardup, repeats, secrets, tokenfiles, warc
+from geomart.llm import (
+    bpe,
+    compression,
+    decontaminate,
+    lattice,
+    neardup,
+    repeats,
+    secrets,
+    syncmers,
+    tokenfiles,
+    warc,
+)
 from geomart.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +109,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written to compressed files and read back."""
     return tokenfiles.round_trip(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query("op4_fingerprints")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Syncmer fingerprints of every document and its edited text."""
+    return syncmers.fingerprints(read(spark, sf_dir, "documents"))

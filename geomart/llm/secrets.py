@@ -254,8 +254,20 @@ def tagged(texts: list[str], model: Field) -> list[list[tuple[int, int]]]:
     return out
 
 
-def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Training windows: around each token that the rules hit, and others spread over the sample."""
+def in_slices(texts: list[str], limit: int) -> Iterator[list[str]]:
+    """Consecutive texts of at most ``limit`` characters together (one text at least)."""
+    begin, size = 0, 0
+    for i, t in enumerate(texts):
+        if i > begin and size + len(t) > limit:
+            yield texts[begin:i]
+            begin, size = i, 0
+        size += len(t)
+    if begin < len(texts):
+        yield texts[begin:]
+
+
+def windows(texts: list[str], other_each: int = 400) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Training windows of one slice: around each token that the rules hit, and others spread evenly."""
     tok = tokenize(texts)
     tags = np.zeros(len(tok.doc), int)
     bounds = np.searchsorted(tok.doc, np.arange(len(texts) + 1))
@@ -268,9 +280,14 @@ def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 tags[i] = BEGIN
                 tags[i + 1 : j] = IN
     hit = np.flatnonzero(tags == BEGIN)
-    n_other = min(len(tags), max(1500, 3 * len(hit)))
+    n_other = min(len(tags), max(other_each, 3 * len(hit)))
     other = np.unique(np.linspace(0, len(tags) - 1, n_other).astype(int)) if len(tags) else np.zeros(0, int)
-    middle = np.concatenate((hit, other))
+    # what looks most like a secret and isn't one: long tokens that mix letters and digits
+    shape = tok.features[0]
+    kinds = shape // 3 % 16
+    hard = np.flatnonzero((tags == OUT) & (shape < 384) & (shape // 48 >= 3) & (kinds & 4 > 0) & (kinds & 3 > 0))
+    hard = hard[np.unique(np.linspace(0, len(hard) - 1, other_each).astype(int))] if len(hard) else hard
+    middle = np.concatenate((hit, hit, other, hard))
     at = middle[:, None] + np.arange(-CONTEXT, CONTEXT + 1)
     inside = (at >= 0) & (at < len(tags))
     at = np.clip(at, 0, max(0, len(tags) - 1))
@@ -280,7 +297,10 @@ def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at, inside = np.take_along_axis(at, order, 1), np.take_along_axis(inside, order, 1)
     wanted = tags[at]
     wanted[:, 0] = np.where(wanted[:, 0] == IN, BEGIN, wanted[:, 0])  # a window may begin within a secret
-    return tok.features[:, at], wanted, inside
+    features = tok.features[:, at]
+    # each hit is seen once with its neighbouring words hidden, so that its shape has to tell
+    features[1:4, len(hit) : 2 * len(hit)] = 0
+    return features, wanted, inside
 
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field:
@@ -291,24 +311,19 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field:
     texts = [r.text for r in sorted(rows, key=lambda r: r.doc_id)]
     if not any(texts):
         return Field()
-    features, tags, real = windows(texts)
+    parts = [windows(part) for part in in_slices(texts, SLICE_CHARS // 2)]
+    features = np.concatenate([f for f, _, _ in parts], axis=1)
+    tags, real = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
     return fit(features, tags, real) if len(tags) else Field()
 
 
 def find_spans(texts: list[str], model: Field) -> Iterator[list[tuple[int, int, int]]]:
     """``(start, kind, end)`` of each text: hits of the rules, and spans of the field that touch none."""
-    begin = 0
-    while begin < len(texts):
-        end, size = begin, 0
-        while end < len(texts) and (end == begin or size + len(texts[end]) <= SLICE_CHARS):
-            size += len(texts[end])
-            end += 1
-        part = texts[begin:end]
+    for part in in_slices(texts, SLICE_CHARS):
         for text, more in zip(part, tagged(part, model)):
             base = [(s, k, e) for s, k, e, _ in base_spans(text)]
             added = [(s, 3, e) for s, e in more if not any(s < y and x < e for x, _, y in base)]
             yield sorted(base + added)
-        begin = end
 
 
 def listed(spans: list[tuple[int, int, int]]) -> str:
