@@ -19,6 +19,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from geomart.llm.common import arrow_schema, texts_of
 
@@ -224,3 +225,16 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return mapped(texts_of(docs), ranks_path, pattern, schema, finish)
+
+
+def with_ids(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """The columns of ``docs`` but the text, and ``n_tokens, ids (binary, little-endian u32)``."""
+    rest = [c for c in docs.columns if c != "text"]
+    own = docs.select(*[docs[c].alias(f"own{i}") for i, c in enumerate(rest)], F.coalesce(docs["text"], F.lit("")).alias("text"))
+    schema = own.drop("text").withColumn("n_tokens", F.lit(0).cast("long")).withColumn("ids", F.lit(None).cast("binary")).schema
+
+    def finish(columns, ids, encoder):
+        return dict(zip(columns.schema.names, columns.columns)) | {"n_tokens": [len(x) // 4 for x in ids], "ids": ids}
+
+    out = mapped(own, ranks_path, pattern, schema, finish)
+    return out.select(*[F.col(f"own{i}").alias(c) for i, c in enumerate(rest)], "n_tokens", "ids")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: ASCII capitals to small letters, byte by byte; all other bytes stay.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -46,20 +46,6 @@ def in_buckets(texts: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     return texts.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.md5("text")), F.lit(n)).cast("int"))
 
 
-def map_rows(df: DataFrame, each: Callable[[Iterator[list[tuple]]], Iterator[dict]], schema: str) -> DataFrame:
-    """``mapInArrow`` with batches as lists of row tuples in and dicts of columns out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (list(zip(*[c.to_pylist() for c in b.columns])) for b in batches if b.num_rows)
-        for out in each(rows):
-            yield pa.RecordBatch.from_pydict(out, schema=target)
-
-    target = arrow_schema(df, schema)
-    return df.mapInArrow(run, schema)
-
-
-def arrow_schema(df: DataFrame, schema: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    return to_arrow_schema(StructType.fromDDL(schema))
+def arrow_schema(df: DataFrame, schema: str | StructType) -> pa.Schema:
+    """Arrow form of a schema; ``df`` only makes sure that a session is at work."""
+    return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)

@@ -325,8 +325,12 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, with all its own columns; of equal ids one row."""
-    found = cluster(docs).where("kept")
-    with_id = docs.dropDuplicates(["doc_id"]).where(F.col("doc_id").isNotNull())
-    ids = found.where("doc_id IS NOT NULL").select("doc_id").distinct()
-    return with_id.join(ids, "doc_id", "left_semi").select(*docs.columns).unionAll(docs.where(F.col("doc_id").isNull()))
+    """One document of each component, with all its own columns.
+
+    Rows without id stay. Rows that share an id stay or go together, and equal ones among them once.
+    """
+    kept = cluster(docs).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("times"))
+    kept = materialize(kept.select(F.col("doc_id").alias("kept_id"), "times"), "kept")
+    once = docs.join(kept.where("times = 1"), docs["doc_id"] == kept["kept_id"], "left_semi")
+    again = docs.join(kept.where("times > 1"), docs["doc_id"] == kept["kept_id"], "left_semi").distinct()
+    return once.unionAll(again).unionAll(docs.where(docs["doc_id"].isNull()))
