@@ -74,19 +74,15 @@ def fill_constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     return df.na.fill({c: v for c, v in values.items() if c in df.columns})
 
 
-def parse_integers(df: DataFrame, columns: Sequence[str], strict: bool = False) -> DataFrame:
+def parse_integers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Text columns to numbers: long when every value present is whole, else double.
 
-    The choice needs the data: one pass over all the columns together. ``strict`` skips it
-    and makes every column long, with fractions as NULL.
+    The choice needs the data: one pass over all the columns together.
     """
     numbers = {c: to_number(F.col(c)) for c in columns}
     parsed = df.withColumns(numbers)
-    if strict:
-        whole = dict.fromkeys(columns, True)
-    else:
-        test = [F.coalesce(F.bool_and(F.col(c) == F.floor(c)), F.lit(True)).alias(c) for c in columns]
-        whole = parsed.agg(*test).first().asDict()
+    test = [F.coalesce(F.bool_and(F.col(c) == F.floor(c)), F.lit(True)).alias(c) for c in columns]
+    whole = parsed.select(*columns).agg(*test).first().asDict() if columns else {}
     fits = lambda c: F.when(F.col(c) == F.floor(c), F.col(c)).try_cast("long")
     return parsed.withColumns({c: fits(c) for c in columns if whole[c]})
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geomart.operators.skew import first_per_key, salted_join
+from geomart.operators.skew import first_per_key
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
@@ -37,7 +37,7 @@ def collect_new(batch: DataFrame, seen: DataFrame, key: str, order_by: list[str
 
 def enrich(hits: DataFrame, details: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(hits joined to their details, hits without details); details are unique on the key."""
-    joined = salted_join(hits, details.withColumn("__found", F.lit(True)), [key], "left")
+    joined = hits.join(details.withColumn("__found", F.lit(True)), key, "left")
     found = joined.where(F.col("__found")).drop("__found")
     return found, joined.where(F.col("__found").isNull()).select(*hits.columns)
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from geomart.functions.geo import grid_cell, haversine_km, hilbert_position, unit_vector
 from geomart.operators.keys import running_total
 from geomart.operators.reshape import count_column
-from geomart.operators.skew import first_per_key, salted_join
+from geomart.operators.skew import first_per_key
 from geomart.session import materialize
 
 AXES = ("x", "y", "z")
@@ -90,7 +90,7 @@ def nearest_per_spot(
     for axis, c in zip(AXES, unit_vector(F.col("p_lat"), F.col("p_lon"))):
         spots = spots.withColumn(axis, c)
     spots = spots.withColumn("curve", hilbert_position(F.col("p_lat"), F.col("p_lon")))
-    ranked = running_total(spots, ["curve", "place_id"], "position", settle=True).withColumn(
+    ranked = running_total(spots, ["curve", "place_id"], "position").withColumn(
         "node", F.floor(F.col("position") / leaf_size)
     )
     ranked = materialize(ranked.drop("position", "curve"), "knn-places")
@@ -162,7 +162,7 @@ def knn_join(
     """
     near = nearest_per_spot(listings, places, k, listing_at=listing_at, **search)
     keyed = listings.withColumns(_spot(listing_at)).select(F.col(listing_id).alias("listing_id"), "__lat", "__lon")
-    joined = salted_join(keyed, near.toDF("__lat", "__lon", "near"), ["__lat", "__lon"])
+    joined = keyed.join(near.toDF("__lat", "__lon", "near"), ["__lat", "__lon"])
     return joined.select("listing_id", F.inline("near"))
 
 
@@ -191,7 +191,7 @@ def with_nearby_counts(
         F.col("lon").alias("__lon"),
         *[F.size(F.filter("near", belongs_to(g))).alias(count_column(g)) for g in groups],
     )
-    joined = salted_join(listings.withColumns(_spot(listing_at)), counts, ["__lat", "__lon"], "left")
+    joined = listings.withColumns(_spot(listing_at)).join(counts, ["__lat", "__lon"], "left")
     return joined.select(*listings.columns, *[F.coalesce(c, F.lit(0)).alias(c) for c in map(count_column, groups)])
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geomart.functions.fuzzy import SCORERS
-from geomart.operators.skew import salted_join
 
 # The groups in their order of precedence, and the group of all other values.
 CATEGORY_GROUPS = (
@@ -23,23 +22,6 @@ CATEGORY_GROUPS = (
 OTHER_GROUP = "Other"
 
 
-MAX_GROUP_ROWS = 10_000
-
-
-def groups_from_table(table: DataFrame, group: str, value: str, priority: str) -> dict[str, list[str]]:
-    """The lists for ``category_map`` from a small table, in the order of ``priority``.
-
-    A table of more than 10,000 rows is an error: it belongs in a join, not in a list.
-    """
-    rows = table.select(group, value, priority).orderBy(priority, value).limit(MAX_GROUP_ROWS + 1).collect()
-    if len(rows) > MAX_GROUP_ROWS:
-        raise ValueError(f"more than {MAX_GROUP_ROWS} category values")
-    groups: dict[str, list[str]] = {}
-    for r in rows:
-        groups.setdefault(r[group], []).append(r[value])
-    return groups
-
-
 def category_map(
     df: DataFrame, column: str, out: str, groups: Mapping[str, Sequence[str]], other: str = OTHER_GROUP
 ) -> DataFrame:
@@ -63,8 +45,22 @@ def category_map(
     return df.withColumn(out, chain.otherwise(F.lit(other)))
 
 
+def category_map_by_table(
+    df: DataFrame, column: str, out: str, table: DataFrame, group: str, value: str, priority: str, other: str = OTHER_GROUP
+) -> DataFrame:
+    """As :func:`category_map`, with the lists as a table of any size: the group of least ``priority`` wins."""
+    first = table.where(F.col(value).isNotNull()).groupBy(F.col(value).alias(column))
+    first = first.agg(F.min(F.struct(priority, F.col(group).alias("g")))["g"].alias("__group"))
+    joined = df.join(first, column, "left")
+    columns = [c for c in df.columns if c != out]
+    return joined.select(*columns, F.coalesce("__group", F.lit(other)).alias(out))
+
+
 def best_matches(values: DataFrame, column: str, choices: Sequence[str], scorer: str) -> DataFrame:
-    """(column, match, score): the best choice of each row; the earlier choice wins a tie."""
+    """(column, match, score): the best choice of each row; the earlier choice wins a tie.
+
+    Every value meets every choice, so ``choices`` is meant to be a short list.
+    """
     options = F.posexplode(F.array(*[F.lit(c) for c in choices])).alias("place", "choice")
     scored = values.select(column, options).withColumn("score", SCORERS[scorer](F.col(column), F.col("choice")))
     best = F.max(F.struct("score", (-F.col("place")).alias("first"), "choice"))
@@ -92,7 +88,7 @@ def fuzzy_standardize(
     if cutoff is not None:
         matched = matched.where(F.col("score") >= cutoff)
     matched = matched.select(column, F.col("match").alias("__match"))
-    joined = salted_join(df, matched, [column], "left")
+    joined = df.join(matched, column, "left")
     order = [c for c in df.columns if c != out] if out != column else df.columns
     return joined.withColumn(out, F.coalesce("__match", column)).select(*order, *([] if out in order else [out]))
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,20 +90,18 @@ def table_info(df: DataFrame) -> DataFrame:
 SKETCH_ACCURACY = 10_000
 
 
-def _counts_around(values: DataFrame, shares: Sequence[float]) -> DataFrame:
+def _counts_around(values: DataFrame, shares: Sequence[float], accuracy: int) -> DataFrame:
     """(column_name, value, n): exact counts near the wanted quantiles, lump counts elsewhere.
 
-    A sketch of fixed size, whose rank error is at most ``1/SKETCH_ACCURACY`` of the rows,
+    A sketch of fixed size, whose rank error is at most ``1/accuracy`` of the rows,
     brackets each quantile with room to spare. Only values inside a bracket are counted one
     by one; all values of a gap between brackets become one row under their smallest value,
-    so ranks stay exact. Columns with few rows are counted in full.
+    so ranks stay exact.
     """
-    room = 4 / SKETCH_ACCURACY
+    room = 4 / accuracy
     ends = [e for s in shares for e in (max(0.0, s - room), min(1.0, s + room))]
-    sketch = values.groupBy("column_name").agg(
-        F.count("value").alias("rows"), F.percentile_approx("value", ends, SKETCH_ACCURACY).alias("ends")
-    )
-    near = F.col("rows") <= SKETCH_ACCURACY
+    sketch = values.groupBy("column_name").agg(F.percentile_approx("value", ends, accuracy).alias("ends"))
+    near = F.lit(False)
     gap = F.lit(0)
     for i in range(len(shares)):
         near = near | F.col("value").between(F.col("ends")[2 * i], F.col("ends")[2 * i + 1])
@@ -113,15 +114,17 @@ def _counts_around(values: DataFrame, shares: Sequence[float]) -> DataFrame:
     )
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], names: Sequence[str]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], shares: Sequence[float], names: Sequence[str], accuracy: int = SKETCH_ACCURACY
+) -> DataFrame:
     """(column_name, *names): quantiles with linear interpolation, NULL and NaN left out.
 
     Two scans: a sketch brackets the quantiles, then the values near them are counted.
     Ranks come from a running total over the counts, so no task sees a whole column.
     """
     values = _long(df, columns, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counted = _counts_around(values, shares)
-    ranked = running_total(counted, ["column_name", "value"], "before", weight="n", settle=True)
+    counted = _counts_around(values, shares, accuracy)
+    ranked = running_total(counted, ["column_name", "value"], "before", weight="n")
     sizes = ranked.groupBy("column_name").agg(F.min("before").alias("start"), F.sum("n").alias("total"))
     placed = ranked.join(F.broadcast(sizes), "column_name").withColumn("before", F.col("before") - F.col("start"))
 
@@ -283,12 +286,39 @@ def boxplot_stats(df: DataFrame, columns: Sequence[str], reach: float = 1.5) ->
     )
 
 
-def kde_curve(df: DataFrame, column: str, points: int = 200, bins: int = 512) -> DataFrame:
-    """(x, density): Gaussian density with Scott's bandwidth over an even grid.
+def kde_curve(df: DataFrame, column: str, points: int = 200, approx: bool = False, bins: int = 512) -> DataFrame:
+    """(point, x, density): Gaussian density of all rows with Scott's bandwidth over an even grid.
 
-    The rows are first counted into ``bins`` narrow bars; each bar spreads to each grid
-    point, so the work after the count does not grow with the table.
+    Each task adds the rows it reads up into one sum per grid point, so memory doesn't depend on the
+    table and only the sums are shuffled. ``approx`` counts the rows into ``bins`` narrow bars first and spreads
+    the bars, so that the work after the count doesn't grow with the table.
     """
+    if approx:
+        return _kde_of_bars(df, column, points, bins)
+    x = F.col(column).cast("double")
+    values = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    s = values.agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    schema = "point int, total double"
+    if not s.n or not s.sd:
+        nothing = df.sparkSession.createDataFrame([], "point int, x double, density double")
+        return nothing
+    width = s.sd * s.n**-0.2
+    grid = s.lo + (s.hi - s.lo) / (points - 1) * np.arange(points)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(points)
+        for b in batches:
+            v = b.column(0).to_numpy(zero_copy_only=False)
+            for i in range(0, len(v), 1024):
+                total += np.exp(-0.5 * ((grid[:, None] - v[None, i : i + 1024]) / width) ** 2).sum(1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(points, dtype=np.int32)), pa.array(total)], names=["point", "total"])
+
+    added = values.mapInArrow(sums, schema).groupBy("point").agg(F.sum("total").alias("total"))
+    at = F.lit(s.lo) + F.lit((s.hi - s.lo) / (points - 1)) * F.col("point")
+    return added.select("point", at.alias("x"), (F.col("total") / (s.n * width * math.sqrt(2 * math.pi))).alias("density"))
+
+
+def _kde_of_bars(df: DataFrame, column: str, points: int, bins: int) -> DataFrame:
     bars = histogram(df, column, bins).where(F.col("n") > 0)
     x = F.col(column).cast("double")
     stats = (
@@ -314,15 +344,18 @@ def kde_curve(df: DataFrame, column: str, points: int = 200, bins: int = 512) ->
 
 
 def impute_median_mode(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
-    """Fill NULLs of numeric columns with the median, of text columns with the mode."""
+    """Fill NULLs of numeric columns with the median, of text columns with the mode.
+
+    All medians, and all modes, come from one set of scans and are one row, whatever the number of columns.
+    """
     fills: dict[str, Column] = {}
+    found: list[tuple[DataFrame, str, Sequence[str], str]] = []
     if numeric:
-        medians = exact_quantiles(df, numeric, [0.5], ["median"])
-        for c in numeric:
-            one = medians.where(F.col("column_name") == c).select("median").scalar()
-            fills[c] = F.coalesce(F.col(c).cast("double"), one)
+        found.append((exact_quantiles(df, numeric, [0.5], ["median"]), "median", numeric, "double"))
     if text:
-        modes = describe_categorical(df, text)
-        for c in text:
-            fills[c] = F.coalesce(F.col(c), modes.where(F.col("column_name") == c).select("top").scalar())
-    return df.withColumns(fills)
+        found.append((describe_categorical(df, text), "top", text, "string"))
+    for i, (table, value, columns, kind) in enumerate(found):
+        row = table.agg(F.map_from_entries(F.collect_list(F.struct("column_name", value))).alias("m")).scalar()
+        df = df.withColumn(f"__fill{i}", row)
+        fills |= {c: F.coalesce(F.col(c).cast(kind), F.col(f"__fill{i}")[c]) for c in columns}
+    return df.withColumns(fills).drop(*[f"__fill{i}" for i in range(len(found))])

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geomart.operators.skew import salted_join
-
 
 def count_column(category: str, prefix: str = "count_nearby_") -> str:
     return prefix + category.replace("_&_", "_and_").replace(" ", "_")
@@ -27,5 +25,5 @@ def pivot_counts(
 def left_join_fill(left: DataFrame, counts: DataFrame, on: str) -> DataFrame:
     """Left join; a row without counts gets zeros."""
     new = [c for c in counts.columns if c != on]
-    joined = salted_join(left, counts, [on], "left")
+    joined = left.join(counts, on, "left")
     return joined.select(*left.columns, *[F.coalesce(c, F.lit(0)).cast("int").alias(c) for c in new])

@@ -1,4 +1,9 @@
-"""Joins and picks that stay even when one key holds a large share of the rows."""
+"""Joins and picks that stay even when one key holds a large share of the rows.
+
+A plain join is the rule: with ``spark.sql.adaptive.skewJoin.enabled`` (set by the session helper,
+and Spark's default) a key's rows are split by the map output they come from, so equal rows and columns of
+any type are split too, and no key has to be counted beforehand.
+"""
 
 from __future__ import annotations
 
@@ -6,40 +11,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-HOT_KEYS = 1000
+def spread_keys(df: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
+    """Add ``__salt``: rows of the keys in ``hot`` are dealt over their ``pieces``, all others get 0.
+
+    Rows are dealt by their place in the partition, so that equal rows are spread as well. Which
+    of its copies of the right row a row meets doesn't change the result.
+    """
+    place = F.monotonically_increasing_id()
+    dealt = F.pmod(place, F.coalesce("pieces", F.lit(1))).cast("int")
+    return df.join(hot.select(*on, "pieces"), on, "left").withColumn("__salt", dealt).drop("pieces")
 
 
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    salts: int = 32,
-    min_rows: int = 1_000_000,
-    count_in: DataFrame | None = None,
-) -> DataFrame:
-    """Inner or left join in which the left side may have hot keys.
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame, how: str = "inner") -> DataFrame:
+    """Inner or left join where the caller knows the hot left keys: ``hot`` holds ``on`` and ``pieces``.
 
-    The (at most 1,000) most frequent keys with more than ``min_rows`` left rows are spread
-    over ``salts`` tasks and only their rows of the right side are repeated; every other key
-    has less than a thousandth of the table. Left rows with a NULL key match nothing and are
-    spread too. ``count_in`` names a cheaper frame with the same rows to count the keys in.
+    Each key is dealt over as many tasks as its row says (its rows over what a task should hold),
+    and only its rows of the right side are repeated. For joins outside adaptive execution, as in a
+    stream; elsewhere a plain join does it.
     """
-    source = left if count_in is None else count_in
-    counts = source.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > min_rows)
-    hot = F.broadcast(counts.orderBy(F.desc("__rows")).limit(HOT_KEYS).select(*on, F.lit(True).alias("__hot")))
-    no_key = F.lit(False)
-    for c in on:
-        no_key = no_key | F.col(c).isNull()
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    left_salted = left.join(hot, on, "left").withColumn(
-        "__salt", F.when(F.col("__hot") | no_key, spread).otherwise(F.lit(0))
-    )
-    right_salted = right.join(hot, on, "left").withColumn(
-        "__salt",
-        F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-    )
-    return left_salted.drop("__hot").join(right_salted.drop("__hot"), [*on, "__salt"], how).drop("__salt")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)).cast("int") - 1))
+    repeated = right.join(hot.select(*on, "pieces"), on, "left").withColumn("__salt", copies).drop("pieces")
+    return spread_keys(left, on, hot).join(repeated, [*on, "__salt"], how).drop("__salt")
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_by: list[str | Column], n: int = 1) -> DataFrame:

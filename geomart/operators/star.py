@@ -13,7 +13,7 @@ from geomart.operators.columns import require_columns
 from geomart.operators.keys import dense_key
 from geomart.operators.mapping import CATEGORY_GROUPS
 from geomart.operators.reshape import count_column
-from geomart.operators.skew import first_per_key, salted_join
+from geomart.operators.skew import first_per_key
 from geomart.session import materialize
 
 # The measures and dimension columns of the mart.
@@ -45,10 +45,11 @@ def coordinate(c: Column) -> Column:
 
 
 def dim_host(df: DataFrame, order_by: list[str]) -> DataFrame:
-    """One row per host, the first in ``order_by``, with a dense key."""
-    hosts = first_per_key(require_columns(df, [*dict.fromkeys([*HOST_COLUMNS, *order_by])]), ["host_id"], order_by)
+    """One row per host, the first in ``order_by``, with a dense key; rows without a host id have no member."""
+    hosts = require_columns(df, [*dict.fromkeys([*HOST_COLUMNS, *order_by])]).where(F.col("host_id").isNotNull())
+    hosts = first_per_key(hosts, ["host_id"], order_by)
     hosts = hosts.select(*HOST_COLUMNS).withColumn("host_verification", verified_flag(F.col("host_verification")))
-    return dense_key(hosts, "host_key", ["host_id"], settle=True).select("host_key", *HOST_COLUMNS)
+    return dense_key(hosts, "host_key", ["host_id"]).select("host_key", *HOST_COLUMNS)
 
 
 def dim_location(df: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def dim_location(df: DataFrame) -> DataFrame:
     places = rows.dropna(subset=["listing_lat", "listing_long"]).distinct()
     names = {"neighbourhood_group": "listing_neighbourhood_group", "neighbourhood": "listing_neighbourhood"}
     columns = ["listing_neighbourhood_group", "listing_neighbourhood", "listing_lat", "listing_long"]
-    return dense_key(places.withColumnsRenamed(names), "property_location_key", columns, settle=True).select(
+    return dense_key(places.withColumnsRenamed(names), "property_location_key", columns).select(
         "property_location_key", *columns
     )
 
@@ -98,16 +99,21 @@ class Lookup:
 
 
 def resolve_keys(fact: DataFrame, lookups: list[Lookup]) -> DataFrame:
-    """Add each dimension's key by a left join on its natural key; salted for hot members.
+    """Add each dimension's key by a left join on its natural key.
 
-    Whether a dimension is broadcast is left to the planner, which knows its size.
+    A composite key may hold NULLs, which then match each other; a single NULL key has no member.
+    Whether a dimension is broadcast and a hot member split is left to the planner, which knows the sizes.
     """
     natural = {f"__{look.key}_{n}": e for look in lookups for n, e in look.natural.items()}
-    base = fact = fact.withColumns(natural)
+    fact = fact.withColumns(natural)
     for look in lookups:
-        on = [f"__{look.key}_{n}" for n in look.natural]
-        dim = look.dimension.select(look.key, *[F.col(n).alias(f"__{look.key}_{n}") for n in look.natural])
-        fact = salted_join(fact, dim, on, "left", count_in=base)
+        own = {f"__{look.key}_{n}": f"__dim_{n}" for n in look.natural}
+        dim = look.dimension.select(look.key, *[F.col(n).alias(f"__dim_{n}") for n in look.natural])
+        if len(own) == 1:
+            match = [F.col(a) == F.col(b) for a, b in own.items()]
+        else:
+            match = [F.col(a).eqNullSafe(F.col(b)) for a, b in own.items()]
+        fact = fact.join(dim, match, "left").drop(*own.values())
     return fact.drop(*natural)
 
 
@@ -147,12 +153,19 @@ def fact_publication(df: DataFrame, host: DataFrame, location: DataFrame, prop:
 def upsert_dimension(
     dim: DataFrame, incoming: DataFrame, natural: list[str], key: str, order_by: list[str | Column]
 ) -> DataFrame:
-    """``dim`` plus the members of ``incoming`` it lacks, keyed above the present maximum."""
+    """``dim`` plus the members of ``incoming`` it lacks, keyed above the present maximum.
+
+    A natural key that is NULL in all its columns names no member; NULLs within a composite one match each other.
+    """
     attributes = [c for c in dim.columns if c != key]
-    fresh = first_per_key(incoming, natural, order_by).select(*attributes)
-    fresh = fresh.join(dim.select(*natural), natural, "left_anti")
+    named = F.lit(False)
+    for c in natural:
+        named = named | F.col(c).isNotNull()
+    fresh = first_per_key(incoming.where(named), natural, order_by).select(*attributes)
+    known = dim.select(*[F.col(c).alias(f"__known_{c}") for c in natural])
+    fresh = fresh.join(known, [F.col(c).eqNullSafe(F.col(f"__known_{c}")) for c in natural], "left_anti")
     top = dim.agg(F.coalesce(F.max(key), F.lit(0)).cast("long")).scalar()
-    return dim.unionByName(dense_key(fresh, key, natural, start=top + 1, settle=True).select(*dim.columns))
+    return dim.unionByName(dense_key(fresh, key, natural, start=top + 1).select(*dim.columns))
 
 
 def build_star(df: DataFrame) -> dict[str, DataFrame]:

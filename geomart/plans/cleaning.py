@@ -71,7 +71,7 @@ def clean_listings(
     in that order, given before any row is dropped; without it the keys of the source stay.
     """
     df = C.normalize_columns(raw)
-    df = C.parse_integers(df, [c for c in INTEGER_COLUMNS if c in df.columns], strict=True)
+    df = C.parse_integers(df, [c for c in INTEGER_COLUMNS if c in df.columns])
     df = df.withColumns({c: to_number(F.col(c)) for c in DOUBLE_COLUMNS})
     if order_by:
         df = dense_key(df.withColumn("__source_id", F.col(order_by[0])), "__key", ["__source_id", *order_by[1:]])

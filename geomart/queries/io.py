@@ -72,7 +72,7 @@ def flatten(spark, sf):
     )
     path = scratch_path(spark, "pages")
     pages.write.json(path)
-    flat = files.flatten_places(files.read_pages(spark, path, max_page=None))
+    flat = files.flatten_places(files.read_pages(spark, path))
     return flat.withColumn("category_main_id", F.coalesce("category_main_id", F.lit(-1)))
 
 

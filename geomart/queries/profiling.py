@@ -238,12 +238,10 @@ def boxplot(spark, sf):
     "kde_curve",
     """WITH s AS (SELECT min(value) AS lo, max(value) AS hi, count(*) AS total,
         stddev_samp(value) * pow(count(*), -0.2) AS w FROM events),
-      c AS (SELECT lo + (hi - lo) / 512 * (least(floor((value - lo) / ((hi - lo) / 512)), 511) + 0.5) AS mid, count(*) AS n
-        FROM events, s GROUP BY 1),
       g AS (SELECT p AS point, lo + (hi - lo) / 199 * p AS x, w, total FROM s, (SELECT unnest(range(200)) AS p))
     SELECT CAST(point AS INTEGER) AS point, round(x, 4) AS x,
-      round(sum(n * exp(-0.5 * pow((x - mid) / w, 2)) / (sqrt(2.0 * pi()) * w)) / total, 6) AS density
-    FROM g, c GROUP BY point, x, total""",
+      round(sum(exp(-0.5 * pow((x - value) / w, 2)) / (sqrt(2.0 * pi()) * w)) / total, 6) AS density
+    FROM g, events WHERE value IS NOT NULL GROUP BY point, x, total""",
 )
 def kde(spark, sf):
     curve = P.kde_curve(table(spark, sf, "events"), "value")

@@ -53,7 +53,7 @@ LISTING = (
 )
 
 
-def _listings(spark, sf):
+def _listings(spark, sf, extra=None):
     k = F.col("o_orderkey")
     return table(spark, sf, "orders").select(
         k.alias("publication_key"),
@@ -65,6 +65,7 @@ def _listings(spark, sf):
         .alias("last_review"),
         F.when(k % 3 != 0, k % 3 == 1).alias("host_verification"),
         F.when(k % 4 == 0, "TRUE").when(k % 4 == 1, "no").alias("instant_bookable_flag"),
+        *[c.alias(name) for name, c in (extra or {}).items()],
     )
 
 
@@ -74,12 +75,17 @@ def _listings(spark, sf):
       CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN NULL
         ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END AS last_review_date,
       CASE o_orderkey % 3 WHEN 1 THEN 'true' WHEN 2 THEN 'false' END AS host_verification,
-      CASE o_orderkey % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS instant_bookable_flag
+      CASE o_orderkey % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS instant_bookable_flag,
+      CASE WHEN o_orderkey % 6 = 0 THEN '{"note":null,"extra":"[' || o_orderkey || ']"}'
+        ELSE '{"note":"' || o_orderstatus || '","extra":"[' || o_orderkey || ']"}' END AS rest
     FROM orders""",
 )
 def stream_shape(spark, sf):
-    records = to_records(_listings(spark, sf), "publication_key")
+    k = F.col("o_orderkey")
+    extra = {"note": F.when(k % 6 != 0, F.col("o_orderstatus")), "extra": F.array(k)}
+    records = to_records(_listings(spark, sf, extra), "publication_key")
     shaped = S.shape(S.decode(records, LISTING), LISTING, names={"last_review": "last_review_date"})
+    shaped = shaped.withColumn("rest", F.to_json("rest", {"ignoreNullFields": "false"}))
     return shaped.withColumns({c: F.col(c).cast("string") for c in ("host_verification", "instant_bookable_flag")})
 
 
@@ -103,7 +109,7 @@ def stream_consume(spark, sf):
     publish_folder(_events(spark, sf), f"{base}/topic", "event_id")
     run = S.consume(S.read_folder(spark, f"{base}/topic"), EVENT, f"{base}/out", f"{base}/dead", f"{base}/position")
     run.awaitTermination()
-    return spark.read.parquet(f"{base}/out").drop("batch_id", "part", "chunk")
+    return spark.read.parquet(f"{base}/out").drop("batch_id", "part", "chunk", "rest")
 
 
 _text = """(SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'not json' WHEN event_id % 10 = 1 THEN '[' || event_id || ']'

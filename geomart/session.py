@@ -15,6 +15,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "geo
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
@@ -28,11 +29,14 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "geo
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests on one machine) is a temporary folder made
-    and set as the checkpoint folder.
+    Only in local mode, where all tasks share one machine, is a temporary folder made and set as the
+    checkpoint folder if the session names none; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="geomart-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -35,6 +35,7 @@ def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8", mode: str = "er
     df.write.mode(mode).option("header", True).option("encoding", encoding).option("escape", '"').csv(path)
 
 
+# The fields of a place reply, and below the flat table's names for them.
 PLACE_REPLY = (
     "fsq_id string, name string,"
     " geocodes struct<main:struct<latitude:double,longitude:double>>,"
@@ -44,10 +45,11 @@ PLACE_REPLY = (
 )
 
 
-def read_pages(spark: SparkSession, path: str, item: str = PLACE_REPLY, max_page: int | None = 5) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, item: str = PLACE_REPLY, max_page: int | None = None) -> DataFrame:
     """All result pages below ``path`` as one row per result.
 
-    A page is ``{"area": …, "page": n, "results": […]}``; pages after ``max_page`` are left out.
+    A page is ``{"area": …, "page": n, "results": […]}``; all pages are read
+    unless the caller sets ``max_page``.
     """
     pages = spark.read.schema(f"area string, page int, results array<struct<{item}>>").json(path)
     if max_page is not None:

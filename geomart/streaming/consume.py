@@ -69,8 +69,9 @@ def shape(
 ) -> DataFrame:
     """The columns of good messages: dates as ISO text, flags as booleans, names by the map.
 
-    Stateless, so the same function serves a table and a stream. Date and flag fields are
-    to be declared as strings in ``schema``.
+    Fields that ``schema`` doesn't declare pass through in the map ``rest`` (name to value, nested
+    ones as JSON text). Stateless, so the same function serves a table and a stream. Date
+    and flag fields are to be declared as strings in ``schema``.
     """
     columns = []
     for f in schema.fields:
@@ -80,7 +81,9 @@ def shape(
         elif f.name in flags:
             c = flag_from_json(F.col("value"), f.name)
         columns.append(c.alias((names or {}).get(f.name, f.name)))
-    return decoded.where(~F.col("bad")).select("key", *columns)
+    every = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
+    rest = F.map_filter(every, lambda name, _: ~name.isin(*schema.names)).alias("rest")
+    return decoded.where(~F.col("bad")).select("key", *columns, rest)
 
 
 def with_chunk(df: DataFrame, rows: int = CHUNK_ROWS) -> DataFrame:

@@ -14,9 +14,9 @@ from geomart.operators import columns as C
 from geomart.operators import profile as P
 from geomart.operators.dedupe import collect_new, duplicate_count, union_all, work_list
 from geomart.operators.keys import category_encode, dense_key, running_total
-from geomart.operators.mapping import category_map, fuzzy_standardize, groups_from_table
+from geomart.operators.mapping import category_map, category_map_by_table, fuzzy_standardize
 from geomart.operators.reshape import count_column, left_join_fill, pivot_counts
-from geomart.operators.skew import first_per_key, salted_join
+from geomart.operators.skew import first_per_key, salted_join, spread_keys
 
 
 def test_normalize_columns(spark):
@@ -47,7 +47,6 @@ def test_parse_integers(spark):
     loose = C.parse_integers(df, ["a", "b", "c"])
     assert dict(loose.dtypes) == {"a": "bigint", "b": "double", "c": "bigint"}
     assert rows(loose) == [(None, 2.0, None), (1, 1.5, None)]
-    assert rows(C.parse_integers(df, ["b"], strict=True).select("b")) == [(None,), (2,)]
 
 
 def test_parse_observed_counts_new_nulls(spark):
@@ -88,8 +87,16 @@ def test_running_total_plan_has_no_single_task_window(spark):
     df = spark.range(1000)
     plan = running_total(df, ["id"], "p")._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert windows and all("windowspecdefinition(__bucket" in line for line in windows)
+    assert "TakeOrderedAndProject" not in plan
+    single = [line for line in plan.splitlines() if "SinglePartition" in line]
+    assert len(single) == 1  # over the totals, one row per range
+
+
+def test_equal_order_keys_are_told_apart_by_the_row(spark):
+    df = spark.createDataFrame([(1, f"v{i}") for i in range(50)], "o int, v string").repartition(5)
+    a = {r.v: r.k for r in dense_key(df, "k", ["o"]).collect()}
+    assert sorted(a.values()) == list(range(1, 51))
+    assert a == {r.v: r.k for r in dense_key(df.repartition(3), "k", ["o"]).collect()}
 
 
 def test_category_encode(spark):
@@ -101,11 +108,29 @@ def test_category_encode(spark):
 def test_salted_join_equals_plain_join(spark):
     left = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"k{i % 20}" if i % 7 else None) for i in range(600)], "i int, k string")
     right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "k string, v int")
+    hot = spark.createDataFrame([("hot", 4), ("k1", 2), ("absent", 3)], "k string, pieces int")
     for how in ("inner", "left"):
-        salted = salted_join(left, right, ["k"], how, salts=4, min_rows=10).select("i", "k", "v")
+        salted = salted_join(left, right, ["k"], hot, how).select("i", "k", "v")
         assert rows(salted) == rows(left.join(right, "k", how).select("i", "k", "v"))
 
 
+def test_salt_spreads_equal_rows_and_allows_maps(spark):
+    left = spark.range(0, 4000, 1, 4).select(F.lit("hot").alias("k"), F.create_map(F.lit("a"), F.lit(1)).alias("m"))
+    right = spark.createDataFrame([("hot", 1)], "k string, v int")
+    hot = spark.createDataFrame([("hot", 8)], "k string, pieces int")
+    joined = salted_join(left, right, ["k"], hot)
+    assert joined.count() == 4000
+    assert spread_keys(left, ["k"], hot).select("__salt").distinct().count() == 8
+
+
+def test_session_splits_skewed_joins(spark):
+    """One key on half of the rows, all equal: the join is split by map output."""
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    left = spark.range(0, 20_000, 1, 8).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"), F.create_map(F.lit("a"), F.lit(1)).alias("m"))
+    right = spark.range(20_000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    assert left_join_fill(left, right, "k").count() == 20_000
+
+
 def test_first_per_key(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 5)], "k string, v int")
     assert rows(first_per_key(df, ["k"], ["v"])) == [("a", 1), ("b", 5)]
@@ -120,13 +145,13 @@ def test_category_map_first_list_wins(spark):
     assert got == {"Wine Store": "restaurants", "Bar": "bars_&_clubs", "Bank": "Other", None: "Other"}
 
 
-def test_groups_from_table(spark):
-    table = spark.createDataFrame([("bars", "Bar", 2), ("food", "Deli", 1), ("bars", "Deli", 2)], "g string, v string, p int")
-    groups = groups_from_table(table, "g", "v", "p")
-    assert list(groups.items()) == [("food", ["Deli"]), ("bars", ["Bar", "Deli"])]
-    big = spark.range(10_001).selectExpr("'g' AS g", "string(id) AS v", "1 AS p")
-    with pytest.raises(ValueError, match="10000"):
-        groups_from_table(big, "g", "v", "p")
+def test_category_map_by_a_table(spark):
+    table = spark.createDataFrame([("bars", "Bar", 2), ("food", "Deli", 1), ("bars", "Deli", 2), ("food", None, 1)], "g string, v string, p int")
+    df = spark.createDataFrame([("Bar",), ("Deli",), ("Bank",), (None,)], "c string")
+    got = {r.c: r.o for r in category_map_by_table(df, "c", "o", table, "g", "v", "p").collect()}
+    assert got == {"Bar": "bars", "Deli": "food", "Bank": "Other", None: "Other"}
+    big = spark.range(20_000).selectExpr("'g' AS g", "string(id) AS v", "1 AS p")
+    assert category_map_by_table(big.select("v"), "v", "o", big, "g", "v", "p").where("o = 'g'").count() == 20_000
 
 
 def test_fuzzy_standardize(spark):
@@ -176,11 +201,13 @@ def test_exact_quantiles_match_built_in(spark):
     df = spark.createDataFrame(data, "a double, b double, c double")
     shares = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     names = [f"q{i}" for i in range(len(shares))]
-    got = {r.column_name: [r[n] for n in names] for r in P.exact_quantiles(df, ["a", "b", "c"], shares, names).collect()}
-    for c in ("a", "b"):
-        want = df.select(F.percentile(c, F.array(*[F.lit(s) for s in shares]))).first()[0]
-        assert got[c] == pytest.approx(want)
-    assert "c" not in got
+    for accuracy in (50, 10_000):  # a small sketch brackets, a large one is exact
+        table = P.exact_quantiles(df, ["a", "b", "c"], shares, names, accuracy)
+        got = {r.column_name: [r[n] for n in names] for r in table.collect()}
+        for c in ("a", "b"):
+            want = df.select(F.percentile(c, F.array(*[F.lit(s) for s in shares]))).first()[0]
+            assert got[c] == pytest.approx(want)
+        assert "c" not in got
 
 
 def test_describe_approx_and_single_row(spark):
@@ -196,6 +223,7 @@ def test_profile_edges(spark):
     assert rows(P.value_counts(df, "s", with_null=True)) == [(None, 1), ("x", 2), ("y", 2)]
     assert rows(P.top_n_values(df, "s", 1)) == [("x", 2)]
     filled = P.impute_median_mode(df, ["n"], ["s"])
+    assert P.impute_median_mode(df, ["n"], []).columns == df.columns
     assert rows(filled) == [("x", 1.0), ("x", 2.0), ("x", 2.0), ("y", 2.0), ("y", 2.0)]
 
 
@@ -205,13 +233,16 @@ def test_histogram_of_constant_and_empty(spark):
     assert P.histogram(spark.createDataFrame([], "v double"), "v", 3).count() == 0
 
 
-def test_kde_is_close_to_the_row_by_row_density(spark):
+def test_kde_is_the_row_by_row_density(spark):
     df = spark.range(500).select((F.sin("id") * 10 + F.col("id") / 100).alias("v"))
     values = np.array([r.v for r in df.collect()])
     width = values.std(ddof=1) * len(values) ** -0.2
     curve = P.kde_curve(df, "v").orderBy("x").collect()
     assert len(curve) == 200 and curve[0].x == values.min() and curve[-1].x == pytest.approx(values.max())
     for r in curve:
+        exact = np.exp(-0.5 * ((r.x - values) / width) ** 2).mean() / (width * np.sqrt(2 * np.pi))
+        assert r.density == pytest.approx(exact, rel=1e-9)
+    for r in P.kde_curve(df, "v", approx=True).orderBy("x").collect():
         exact = np.exp(-0.5 * ((r.x - values) / width) ** 2).mean() / (width * np.sqrt(2 * np.pi))
         assert r.density == pytest.approx(exact, rel=1e-3)
 

@@ -38,7 +38,8 @@ def test_pages(spark, tmp_path):
     for n, results in ((1, [place]), (2, [bare, {"fsq_id": "c"}]), (6, [{"fsq_id": "late"}])):
         (tmp_path / f"p{n}.json").write_text(json.dumps({"area": "Bronx", "page": n, "results": results}))
     flat = {r.fsq_id: r for r in files.flatten_places(files.read_pages(spark, str(tmp_path))).collect()}
-    assert set(flat) == {"a", "b", "c"}
+    assert set(flat) == {"a", "b", "c", "late"}
+    assert files.read_pages(spark, str(tmp_path), max_page=5).count() == 3
     a = flat["a"]
     assert (a.latitude, a.category_main_name, a.category_main_id, a.tips_count, a.area_searched) == (1.5, "Café", 7, 3, "Bronx")
     assert json.loads(a.all_categories) == place["categories"]
