@@ -12,9 +12,10 @@ from geomart.functions.text import is_true_text, to_number, to_whole_number
 from geomart.operators.columns import require_columns
 from geomart.operators.keys import dense_key
 from geomart.operators.mapping import CATEGORY_GROUPS
+from geomart.operators.quality import check_foreign_key, check_unique
 from geomart.operators.reshape import count_column
 from geomart.operators.skew import first_per_key
-from geomart.session import materialize
+from geomart.session import materialize, materialize_all
 
 # The measures and dimension columns of the mart.
 MEASURES = (
@@ -29,7 +30,7 @@ MEASURES = (
 HOST_COLUMNS = ("host_id", "host_name", "host_verification", "calculated_host_listings_count")
 LOCATION_COLUMNS = ("neighbourhood_group", "neighbourhood", "lat", "long")
 PROPERTY_COLUMNS = ("property_name", "instant_bookable_flag", "cancellation_policy", "room_type", "construction_year")
-WRITTEN_DIMENSIONS = ("dim_host", "dim_property_location", "dim_property")
+WRITTEN_DIMENSIONS = ("dim_host", "dim_property_location")
 LOAD_ORDER = ("dim_host", "dim_property_location", "dim_property", "dim_date", "fact_publication")
 
 
@@ -44,40 +45,51 @@ def coordinate(c: Column) -> Column:
     return to_number(c).cast("decimal(10,7)")
 
 
-def dim_host(df: DataFrame, order_by: list[str]) -> DataFrame:
-    """One row per host, the first in ``order_by``, with a dense key; rows without a host id have no member."""
+def host_members(df: DataFrame, order_by: list[str]) -> DataFrame:
+    """One row per host, the first in ``order_by``; rows without a host id have no member."""
     hosts = require_columns(df, [*dict.fromkeys([*HOST_COLUMNS, *order_by])]).where(F.col("host_id").isNotNull())
-    hosts = first_per_key(hosts, ["host_id"], order_by)
-    hosts = hosts.select(*HOST_COLUMNS).withColumn("host_verification", verified_flag(F.col("host_verification")))
-    return dense_key(hosts, "host_key", ["host_id"]).select("host_key", *HOST_COLUMNS)
+    hosts = first_per_key(hosts, ["host_id"], order_by).select(*HOST_COLUMNS)
+    return hosts.withColumn("host_verification", verified_flag(F.col("host_verification")))
 
 
-def dim_location(df: DataFrame) -> DataFrame:
+def dim_host(df: DataFrame, order_by: list[str]) -> DataFrame:
+    """The hosts with a dense key."""
+    return dense_key(host_members(df, order_by), "host_key", ["host_id"]).select("host_key", *HOST_COLUMNS)
+
+
+LOCATION_KEY = ["listing_neighbourhood_group", "listing_neighbourhood", "listing_lat", "listing_long"]
+
+
+def location_members(df: DataFrame) -> DataFrame:
     """Distinct places of listings; coordinates as DECIMAL(10,7), rows without them left out."""
     rows = require_columns(df, LOCATION_COLUMNS).select(
-        "neighbourhood_group",
-        "neighbourhood",
+        F.col("neighbourhood_group").alias("listing_neighbourhood_group"),
+        F.col("neighbourhood").alias("listing_neighbourhood"),
         coordinate(F.col("lat")).alias("listing_lat"),
         coordinate(F.col("long")).alias("listing_long"),
     )
-    places = rows.dropna(subset=["listing_lat", "listing_long"]).distinct()
-    names = {"neighbourhood_group": "listing_neighbourhood_group", "neighbourhood": "listing_neighbourhood"}
-    columns = ["listing_neighbourhood_group", "listing_neighbourhood", "listing_lat", "listing_long"]
-    return dense_key(places.withColumnsRenamed(names), "property_location_key", columns).select(
-        "property_location_key", *columns
-    )
+    return rows.dropna(subset=["listing_lat", "listing_long"]).distinct()
 
 
-def dim_property(df: DataFrame) -> DataFrame:
-    """One row per publication, keyed 1..n in the order of the publication key."""
+def dim_location(df: DataFrame) -> DataFrame:
+    """The places with a dense key."""
+    return dense_key(location_members(df), "property_location_key", LOCATION_KEY).select("property_location_key", *LOCATION_KEY)
+
+
+def property_members(df: DataFrame, *keys: str) -> DataFrame:
+    """One row per publication, with the columns ``keys`` besides."""
     rows = df.withColumnRenamed("name", "property_name")
-    rows = require_columns(rows, ["publication_key", *PROPERTY_COLUMNS]).withColumns(
+    return require_columns(rows, [*keys, "publication_key", *PROPERTY_COLUMNS]).withColumns(
         {
             "instant_bookable_flag": is_true_text(F.col("instant_bookable_flag")),
             "construction_year": to_whole_number(F.col("construction_year")),
         }
     )
-    return dense_key(rows, "property_key", ["publication_key"]).select(
+
+
+def dim_property(df: DataFrame) -> DataFrame:
+    """One row per publication, keyed 1..n in the order of the publication key."""
+    return dense_key(property_members(df), "property_key", ["publication_key"]).select(
         "property_key", "publication_key", *PROPERTY_COLUMNS
     )
 
@@ -117,9 +129,10 @@ def resolve_keys(fact: DataFrame, lookups: list[Lookup]) -> DataFrame:
     return fact.drop(*natural)
 
 
-def fact_publication(df: DataFrame, host: DataFrame, location: DataFrame, prop: DataFrame) -> DataFrame:
+def fact_publication(df: DataFrame, host: DataFrame, location: DataFrame) -> DataFrame:
+    """The facts of listings that already carry ``property_key``: publications and facts are one to one."""
     counts = [count_column(g) for g in CATEGORY_GROUPS]
-    lookup = ["publication_key", "host_id", "lat", "long", "neighbourhood_group", "neighbourhood", "last_review"]
+    lookup = ["property_key", "host_id", "lat", "long", "neighbourhood_group", "neighbourhood", "last_review"]
     rows = require_columns(df, [*MEASURES, *counts, *lookup]).withColumns(
         {c: to_number(F.col(c)) for c in MEASURES} | {c: F.col(c).cast("int") for c in counts}
     )
@@ -137,7 +150,6 @@ def fact_publication(df: DataFrame, host: DataFrame, location: DataFrame, prop:
                     "listing_long": coordinate(F.col("long")),
                 },
             ),
-            Lookup(prop, "property_key", {"publication_key": F.col("publication_key")}),
         ],
     )
     return keyed.select(
@@ -171,15 +183,64 @@ def upsert_dimension(
 def build_star(df: DataFrame) -> dict[str, DataFrame]:
     """The five tables of the mart from the wide listings table.
 
-    The three dimensions whose keys the fact looks up are written once to the scratch folder.
+    The listings are numbered once: the property dimension and the facts are two views of the
+    numbered table. It and the two dimensions that the facts look up are written side by side.
+    """
+    ready = materialize_all(
+        {
+            "numbered": lambda: dense_key(df, "property_key", ["publication_key"]),
+            "dim_host": lambda: dim_host(df, ["publication_key"]),
+            "dim_property_location": lambda: dim_location(df),
+        }
+    )
+    numbered = ready.pop("numbered")
+    prop = property_members(numbered, "property_key")
+    fact = fact_publication(numbered, ready["dim_host"], ready["dim_property_location"])
+    return {**ready, "dim_property": prop, "dim_date": dim_date(df), "fact_publication": fact}
+
+
+class LoadError(ValueError):
+    """A batch that would break a key of the mart."""
+
+
+def append_facts(batch: DataFrame, star: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The star with the listings of ``batch`` added: members that are missing get keys above the present ones.
+
+    All tables are written to the scratch folder and checked there: a publication that is already loaded or comes
+    twice, a fact without one of its keys, or a key without its member refuses the whole batch.
     """
-    host = materialize(dim_host(df, ["publication_key"]), "dim_host")
-    location = materialize(dim_location(df), "dim_property_location")
-    prop = materialize(dim_property(df), "dim_property")
-    return {
-        "dim_host": host,
-        "dim_property_location": location,
-        "dim_property": prop,
-        "dim_date": dim_date(df),
-        "fact_publication": fact_publication(df, host, location, prop),
+    batch = materialize(batch, "batch")
+    known = star["dim_property"].select("publication_key")
+    again = check_unique(batch, ["publication_key"]).select("publication_key").unionByName(
+        batch.join(known, "publication_key", "left_semi").select("publication_key")
+    )
+    if not again.isEmpty():
+        raise LoadError(f"publication {again.first()[0]} is there already or comes twice")
+    hosts, places, props = host_members(batch, ["publication_key"]), location_members(batch), property_members(batch)
+    grown = materialize_all(
+        {
+            "dim_host": lambda: upsert_dimension(star["dim_host"], hosts, ["host_id"], "host_key", ["host_id"]),
+            "dim_property_location": lambda: upsert_dimension(
+                star["dim_property_location"], places, LOCATION_KEY, "property_location_key", LOCATION_KEY
+            ),
+            "dim_property": lambda: upsert_dimension(
+                star["dim_property"], props, ["publication_key"], "property_key", ["publication_key"]
+            ),
+            "dim_date": lambda: star["dim_date"].unionByName(dim_date(batch)).dropDuplicates(["date_key"]),
+        }
+    )
+    keyed = batch.join(grown["dim_property"].select("publication_key", "property_key"), "publication_key", "left")
+    fresh = materialize(fact_publication(keyed, grown["dim_host"], grown["dim_property_location"]), "fact_batch")
+    parents = {
+        "property_key": ("dim_property", "property_key"),
+        "host_key": ("dim_host", "host_key"),
+        "property_location_key": ("dim_property_location", "property_location_key"),
+        "last_review_date_key": ("dim_date", "date_key"),
     }
+    empty = fresh.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in parents]).first()
+    for c, (name, key) in parents.items():
+        if empty[c]:
+            raise LoadError(f"{empty[c]} facts without {c}")
+        if not check_foreign_key(fresh, c, grown[name], key).isEmpty():
+            raise LoadError(f"facts whose {c} is not in {name}")
+    return {**grown, "fact_publication": star["fact_publication"].unionByName(fresh)}

@@ -109,7 +109,7 @@ def stream_consume(spark, sf):
     publish_folder(_events(spark, sf), f"{base}/topic", "event_id")
     run = S.consume(S.read_folder(spark, f"{base}/topic"), EVENT, f"{base}/out", f"{base}/dead", f"{base}/position")
     run.awaitTermination()
-    return spark.read.parquet(f"{base}/out").drop("batch_id", "part", "chunk", "rest")
+    return spark.read.parquet(f"{base}/out").drop("batch_id", "part", "chunk", "rest", "record_position")
 
 
 _text = """(SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'not json' WHEN event_id % 10 = 1 THEN '[' || event_id || ']'

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +53,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_all(steps: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Materialize independent frames side by side; each is made and written in a thread of its own."""
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        written = {name: pool.submit(lambda n=name, f=make: materialize(f(), n)) for name, make in steps.items()}
+        return {name: w.result() for name, w in written.items()}

@@ -7,18 +7,20 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from geomart.functions.dates import iso_utc_from_key
 from geomart.functions.text import to_whole_number
 
 RECORD = "key string, value string"
+POSITION = ("partition", "offset", "timestamp")
 # Delivery by 100 rows or every 5 seconds.
 CHUNK_ROWS = 100
 BATCH_SECONDS = 5
 
 
 def read_kafka(spark: SparkSession, servers: str, topic: str, starting: str = "earliest", max_rows: int | None = None) -> DataFrame:
-    """A topic as (key, value) text. The checkpoint of the query keeps the position."""
+    """A topic as (key, value) text with each record's partition, offset and time. The checkpoint keeps the position."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -27,14 +29,22 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, starting: str = "e
     )
     if max_rows:
         reader = reader.option("maxOffsetsPerTrigger", max_rows)
-    return reader.load().select(F.col("key").cast("string"), F.col("value").cast("string"))
+    return reader.load().select(F.col("key").cast("string"), F.col("value").cast("string"), *POSITION)
 
 
 def read_folder(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """A folder of records; a record's position is its file and its row in it."""
     reader = spark.readStream.schema(RECORD)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    at = F.col("_metadata")
+    return reader.parquet(path).select(
+        "key",
+        "value",
+        at["file_path"].alias("partition"),
+        at["row_index"].alias("offset"),
+        at["file_modification_time"].alias("timestamp"),
+    )
 
 
 def flag_from_json(value: Column, field: str) -> Column:
@@ -51,10 +61,11 @@ def flag_from_json(value: Column, field: str) -> Column:
 
 
 def decode(records: DataFrame, schema: T.StructType) -> DataFrame:
-    """(key, value, row, bad): the parsed message, and whether it is no usable JSON object."""
+    """(key, value, row, bad) and the record's position: the parsed message, and whether it is no usable JSON object."""
     full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     row = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    parsed = records.select("key", "value", row.alias("row"))
+    place = [c for c in POSITION if c in records.columns]
+    parsed = records.select("key", "value", *place, row.alias("row"))
     is_object = F.trim("value").startswith("{") & (F.regexp_replace("value", r"\s", "") != "{}")
     good = is_object & F.col("row").isNotNull() & F.col("row._corrupt").isNull()
     return parsed.withColumn("bad", ~F.coalesce(good, F.lit(False)))
@@ -83,7 +94,8 @@ def shape(
         columns.append(c.alias((names or {}).get(f.name, f.name)))
     every = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
     rest = F.map_filter(every, lambda name, _: ~name.isin(*schema.names)).alias("rest")
-    return decoded.where(~F.col("bad")).select("key", *columns, rest)
+    place = F.struct(*[c for c in POSITION if c in decoded.columns]).alias("record_position")
+    return decoded.where(~F.col("bad")).select("key", *columns, rest, *([place] if "offset" in decoded.columns else []))
 
 
 def with_chunk(df: DataFrame, rows: int = CHUNK_ROWS) -> DataFrame:
@@ -114,7 +126,7 @@ def consume(
         try:
             good = with_chunk(shape(decoded, schema, names=names))
             good.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-            lost = decoded.where("bad").select("key", "value")
+            lost = decoded.where("bad").select("key", "value", *[c for c in POSITION if c in decoded.columns])
             lost.write.mode("overwrite").parquet(f"{dead}/batch_id={batch_id}")
         finally:
             decoded.unpersist()
@@ -122,3 +134,9 @@ def consume(
     writer = records.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=f"{BATCH_SECONDS} seconds")
     return writer.start()
+
+
+def delivered(query: StreamingQuery) -> tuple[int, int]:
+    """(batches, rows read) of a query so far, from Spark's own progress reports."""
+    done = [p for p in query.recentProgress if p["numInputRows"]]
+    return len(done), sum(p["numInputRows"] for p in done)

@@ -60,6 +60,12 @@ def test_clean_listings(spark):
     assert (got[6].construction_year, got[6].minimum_nights, got[6].availability_365, got[6].cancellation_policy) == (2012, 3, 96, "moderate")
 
 
+def test_readable_fractions_stay(spark):
+    items = [listing(1, **{"minimum nights": "2.5"}), listing(2)]
+    got = {r.id: r.minimum_nights for r in clean_listings(raw_listings(spark, items)).collect()}
+    assert got == {1: 2.5, 2: 10.0}
+
+
 def test_position_keys_are_given_before_rows_are_dropped(spark):
     items = [listing(30), listing(10, lat=None), listing(20)]
     got = clean_listings(raw_listings(spark, items), order_by=["id"])
@@ -110,3 +116,47 @@ def test_upsert_dimension(spark):
 def test_dim_date_leaves_out_bad_numbers(spark):
     df = spark.createDataFrame([(20240229,), (20240229,), (20241399,), (None,)], "last_review int")
     assert rows(M.dim_date(df)) == [(20240229, *rows(M.dim_date(df))[0][1:2], 2024, 2, 29, "Thursday", "February")]
+
+
+def wide(spark, items):
+    counts = ", ".join(f"0 AS {M.count_column(g)}" for g in M.CATEGORY_GROUPS)
+    df = spark.createDataFrame(items, "publication_key long, host_id long, neighbourhood string, lat double, last_review int")
+    return df.selectExpr(
+        "*", "'n' AS name", "'h' AS host_name", "true AS host_verification", "1 AS calculated_host_listings_count",
+        "'g' AS neighbourhood_group", "-73.5 AS long", "'true' AS instant_bookable_flag", "'c' AS cancellation_policy",
+        "'r' AS room_type", "2020 AS construction_year", "1.0 AS price", "1.0 AS service_fee", "1 AS minimum_nights",
+        "1 AS number_of_reviews", "1.0 AS reviews_per_month", "1 AS review_rate_number", "1 AS availability_365", counts.split(", ")[0],
+        *counts.split(", ")[1:],
+    )
+
+
+def test_null_keys(spark):
+    star = M.build_star(wide(spark, [(1, 7, None, 40.0, 20240101), (2, None, "x", 40.0, 20240101)]))
+    assert rows(star["dim_host"].select("host_key", "host_id")) == [(1, 7)]
+    fact = {r.property_key: r for r in star["fact_publication"].collect()}
+    assert fact[2].host_key is None and fact[1].property_location_key is not None  # a NULL part of a composite key matches
+    dim = spark.createDataFrame([(1, 10, "a")], "host_key bigint, host_id int, host_name string")
+    new = spark.createDataFrame([(None, "x", 1), (11, "y", 1)], "host_id int, host_name string, t int")
+    once = M.upsert_dimension(dim, new, ["host_id"], "host_key", ["t"])
+    assert rows(once) == rows(M.upsert_dimension(once, new, ["host_id"], "host_key", ["t"])) == [(1, 10, "a"), (2, 11, "y")]
+    pairs = spark.createDataFrame([(1, "a", None)], "k bigint, g string, n string")
+    more = spark.createDataFrame([("a", None), ("b", None), (None, None)], "g string, n string")
+    assert rows(M.upsert_dimension(pairs, more, ["g", "n"], "k", ["g"])) == [(1, "a", None), (2, "b", None)]
+
+
+def test_append_facts(spark):
+    first, second = [(1, 7, "x", 40.0, 20240101), (2, 8, "y", 41.0, 20240102)], [(3, 7, "z", 42.0, 20240103), (4, 9, "x", 40.0, 20240101)]
+    star = M.append_facts(wide(spark, second), M.build_star(wide(spark, first)))
+    assert {n: t.count() for n, t in star.items()} == {
+        "dim_host": 3, "dim_property_location": 3, "dim_property": 4, "dim_date": 3, "fact_publication": 4,
+    }
+    assert rows(star["dim_host"].select("host_key", "host_id")) == [(1, 7), (2, 8), (3, 9)]
+    for bad, said in (
+        ([(1, 7, "x", 40.0, 20240101)], "already"),
+        ([(5, 7, "x", 40.0, 20240101)] * 2, "twice"),
+        ([(5, None, "x", 40.0, 20240101)], "host_key"),
+        ([(5, 7, "x", None, 20240101)], "property_location_key"),
+        ([(5, 7, "x", 40.0, 20241399)], "dim_date"),
+    ):
+        with pytest.raises(M.LoadError, match=said):
+            M.append_facts(wide(spark, bad), star)

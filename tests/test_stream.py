@@ -82,6 +82,21 @@ def test_bad_messages_go_to_dead_letters(spark, tmp_path):
     assert [r.host_id for r in run(spark, base).collect()] == [4]
     dead = spark.read.parquet(f"{base}/dead")
     assert rows(dead.select("key")) == [(str(i),) for i in range(7)]
+    written = {r.key: r.value for r in records.collect()}
+    for r in dead.collect():  # the position leads back to the record
+        at = spark.read.parquet(r.partition).where(F.col("_metadata.row_index") == r.offset).first()
+        assert (at.key, at.value) == (r.key, written[r.key])
+
+
+def test_counters_and_undeclared_fields(spark, tmp_path):
+    base = str(tmp_path)
+    values = ['{"host_id": 4, "extra": "kept", "deep": {"a": [1]}}', '{"host_id": 5}', "bad"]
+    spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "key string, value string").write.parquet(f"{base}/topic")
+    query = S.consume(S.read_folder(spark, f"{base}/topic"), SCHEMA, f"{base}/out", f"{base}/dead", f"{base}/position")
+    query.awaitTermination()
+    assert S.delivered(query) == (1, 3)
+    rest = {r.host_id: r.rest for r in spark.read.parquet(f"{base}/out").collect()}
+    assert rest == {4: {"extra": "kept", "deep": '{"a":[1]}'}, 5: {}}
 
 
 def test_chunks_hold_at_most_n_rows(spark):
