@@ -9,6 +9,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from geomart.operators.mapping import CATEGORY_GROUPS, OTHER_GROUP
+
 EXISTS = "expect_column_to_exist"
 BETWEEN = "expect_column_values_to_be_between"
 NOT_NULL = "expect_column_values_to_not_be_null"
@@ -114,16 +116,7 @@ PLACES_SUITE = Suite(
         Expectation(
             IN_SET,
             "category_group",
-            value_set=(
-                "cultural",
-                "restaurants",
-                "parks_&_outdoor",
-                "retail_&_shopping",
-                "entertainment_&_leisure",
-                "landmarks",
-                "bars_&_clubs",
-                "Other",
-            ),
+            value_set=(*CATEGORY_GROUPS, OTHER_GROUP),
         ),
     ),
 )

@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geomart.operators.mapping import CATEGORY_GROUPS, OTHER_GROUP
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -45,16 +47,7 @@ CUSTOMER_AT = ("c_custkey", 37, 91)
 SUPPLIER_AT = ("s_suppkey", 5347, 7193)
 PART_AT = ("p_partkey", 5347, 7193)
 
-GROUPS_BY_REST = (
-    "cultural",
-    "restaurants",
-    "parks_&_outdoor",
-    "retail_&_shopping",
-    "entertainment_&_leisure",
-    "landmarks",
-    "bars_&_clubs",
-    "Other",
-)
+GROUPS_BY_REST = (*CATEGORY_GROUPS, OTHER_GROUP)
 
 
 def group_of(key: str) -> Column:

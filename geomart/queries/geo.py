@@ -19,6 +19,8 @@ from geomart.queries.base import (
     distance_sql,
     group_of,
     group_sql,
+    null_every,
+    null_every_sql,
     query,
     table,
 )
@@ -118,12 +120,14 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view", "refund")
     "pivot_counts",
     "SELECT user_id, "
     + ", ".join(
-        f"CAST(count(*) FILTER (event_type = '{t}') AS INTEGER) AS count_{t}" for t in EVENT_TYPES
+        f"CAST(count(v) FILTER (event_type = '{t}') AS INTEGER) AS count_{t}" for t in EVENT_TYPES
     )
-    + " FROM events GROUP BY user_id",
+    + f" FROM (SELECT *, {null_every_sql(3, 'event_id', 'event_id')} AS v FROM events) GROUP BY user_id",
 )
 def pivot_events(spark, sf):
-    return pivot_counts(table(spark, sf, "events"), "user_id", "event_type", "event_id", EVENT_TYPES, "count_")
+    """Only values that are not NULL are counted."""
+    events = table(spark, sf, "events").withColumn("v", null_every(3, "event_id", F.col("event_id")))
+    return pivot_counts(events, "user_id", "event_type", "v", EVENT_TYPES, "count_")
 
 
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")

@@ -126,6 +126,23 @@ def describe_numeric(spark, sf):
     )
 
 
+_by_type = ("c_custkey", "c_nationkey", "c_acctbal")
+
+
+@query(
+    "describe_by_type",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
+        round(min({c}), 4)::DOUBLE AS min, round(quantile_cont({c}, 0.25), 4) AS q25, round(quantile_cont({c}, 0.5), 4) AS q50,
+        round(quantile_cont({c}, 0.75), 4) AS q75, round(max({c}), 4)::DOUBLE AS max FROM customer"""
+        for c in _by_type
+    ),
+)
+def describe_by_type(spark, sf):
+    """The numeric columns are found by their type."""
+    return _rounded(P.describe_numeric(table(spark, sf, "customer")), "mean", "std", "min", "q25", "q50", "q75", "max")
+
+
 _text = ("c_name", "c_mktsegment")
 
 
