@@ -85,7 +85,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     SELECT page_id, payload_bytes, payload_digest,
       CASE WHEN smallest = page_id THEN 'response' ELSE 'revisit' END AS record_type,
-      CASE WHEN smallest <> page_id THEN smallest END AS refers_to FROM q
+      CAST(CASE WHEN smallest <> page_id THEN smallest END AS DOUBLE) AS refers_to FROM q
     """,
 )
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
