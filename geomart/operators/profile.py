@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from geomart.operators.columns import columns_of_type
@@ -90,40 +90,71 @@ def table_info(df: DataFrame) -> DataFrame:
 SKETCH_ACCURACY = 10_000
 
 
-def _counts_around(values: DataFrame, shares: Sequence[float], accuracy: int) -> DataFrame:
-    """(column_name, value, n): exact counts near the wanted quantiles, lump counts elsewhere.
+def _sketch(df: DataFrame, columns: Sequence[str], shares: Sequence[float], accuracy: int) -> dict[str, Row]:
+    """Per column with values: count, mean, deviation, range, and values around each share, in one wide pass.
 
-    A sketch of fixed size, whose rank error is at most ``1/accuracy`` of the rows,
-    brackets each quantile with room to spare. Only values inside a bracket are counted one
-    by one; all values of a gap between brackets become one row under their smallest value,
-    so ranks stay exact.
+    The values come from a sketch of fixed size, whose rank error is at most ``1/accuracy`` of the rows,
+    with room to spare on both sides. NULL and NaN are left out. One small row per column is returned.
     """
     room = 4 / accuracy
     ends = [e for s in shares for e in (max(0.0, s - room), min(1.0, s + room))]
-    sketch = values.groupBy("column_name").agg(F.percentile_approx("value", ends, accuracy).alias("ends"))
-    near = F.lit(False)
-    gap = F.lit(0)
-    for i in range(len(shares)):
-        near = near | F.col("value").between(F.col("ends")[2 * i], F.col("ends")[2 * i + 1])
-        gap = gap + (F.col("value") > F.col("ends")[2 * i + 1]).cast("int")
+    parts = []
+    for c in columns:
+        v = F.col(c).cast("double")
+        v = F.when(~F.isnan(v), v)
+        parts.append(
+            F.struct(
+                F.count(v).alias("n"),
+                F.avg(v).alias("mean"),
+                F.stddev_samp(v).alias("std"),
+                F.min(v).alias("min"),
+                F.max(v).alias("max"),
+                F.percentile_approx(v, ends, accuracy).alias("ends"),
+            )
+        )
+    row = df.agg(F.array(*parts).alias("s")).first()
+    return {c: r for c, r in zip(columns, row.s) if r.n}
+
+
+def _counts_around(values: DataFrame, sketch: dict[str, Row]) -> DataFrame:
+    """(column_name, value, n): exact counts near the wanted quantiles, lump counts elsewhere.
+
+    Only values between the two ends of a share are counted one by one; all values of a gap
+    between become one row under their smallest value, so ranks stay exact.
+    """
+    pairs = [(F.lit(c), F.array(*[F.lit(float(e)) for e in r.ends])) for c, r in sketch.items()]
+    ends = F.create_map(*[x for pair in pairs for x in pair])[F.col("column_name")]
+    values = values.withColumn("ends", ends)
+    near, gap = F.lit(False), F.lit(0)
+    for i in range(0, len(next(iter(sketch.values())).ends), 2):
+        near = near | F.col("value").between(F.col("ends")[i], F.col("ends")[i + 1])
+        gap = gap + (F.col("value") > F.col("ends")[i + 1]).cast("int")
     return (
-        values.join(F.broadcast(sketch), "column_name")  # one row per column
-        .groupBy("column_name", gap.alias("gap"), F.when(near, F.col("value")).alias("single"))
+        values.groupBy("column_name", gap.alias("gap"), F.when(near, F.col("value")).alias("single"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("value"))
         .select("column_name", "value", "n")
     )
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], shares: Sequence[float], names: Sequence[str], accuracy: int = SKETCH_ACCURACY
+    df: DataFrame,
+    columns: Sequence[str],
+    shares: Sequence[float],
+    names: Sequence[str],
+    accuracy: int = SKETCH_ACCURACY,
+    sketch: dict[str, Row] | None = None,
 ) -> DataFrame:
     """(column_name, *names): quantiles with linear interpolation, NULL and NaN left out.
 
-    Two scans: a sketch brackets the quantiles, then the values near them are counted.
-    Ranks come from a running total over the counts, so no task sees a whole column.
+    Two scans: a sketch brackets the quantiles (``sketch``, if the caller has made it), then the
+    values near them are counted. Ranks come from a running total over the counts, so no task sees a whole column.
     """
-    values = _long(df, columns, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counted = _counts_around(values, shares, accuracy)
+    sketch = _sketch(df, columns, shares, accuracy) if sketch is None else sketch
+    if not sketch:
+        schema = "column_name string, " + ", ".join(f"{n} double" for n in names)
+        return df.sparkSession.createDataFrame([], schema)
+    values = _long(df, list(sketch), "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counted = _counts_around(values, sketch)
     ranked = running_total(counted, ["column_name", "value"], "before", weight="n")
     sizes = ranked.groupBy("column_name").agg(F.min("before").alias("start"), F.sum("n").alias("total"))
     placed = ranked.join(F.broadcast(sizes), "column_name").withColumn("before", F.col("before") - F.col("start"))
@@ -153,26 +184,22 @@ def exact_quantiles(
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """count, mean, sample std, min, quartiles and max per column.
 
-    ``approx`` takes the quartiles from a fixed-size sketch in the same single pass.
+    Two scans: one wide pass for all figures and the sketch, one for the quartiles; ``approx`` stays
+    with the sketch of the first.
     """
     columns = list(columns or columns_of_type(df, "numeric"))
-    values = _long(df, columns, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    basic = [
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    ]
+    shares, names = [0.25, 0.5, 0.75], ["q25", "q50", "q75"]
+    sketch = _sketch(df, columns, shares, SKETCH_ACCURACY)
+    schema = "column_name string, n long, mean double, std double, min double, max double"
+    rows = [(c, r.n, r["mean"], r["std"], r["min"], r["max"]) for c, r in sketch.items()]
+    basic = df.sparkSession.createDataFrame(rows, schema)
     if approx:
-        basic.append(F.percentile_approx("value", [0.25, 0.5, 0.75]).alias("q"))
-        table = values.groupBy("column_name").agg(*basic)
-        parts = {"q25": F.col("q")[0], "q50": F.col("q")[1], "q75": F.col("q")[2]}
-        table = table.withColumns(parts)
+        middle = [(c, *[(r.ends[2 * i] + r.ends[2 * i + 1]) / 2 for i in range(3)]) for c, r in sketch.items()]
+        quartiles = df.sparkSession.createDataFrame(middle, "column_name string, q25 double, q50 double, q75 double")
     else:
-        quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
-        table = values.groupBy("column_name").agg(*basic).join(F.broadcast(quartiles), "column_name")
-    return table.select("column_name", "n", "mean", "std", "min", "q25", "q50", "q75", "max")
+        quartiles = exact_quantiles(df, columns, shares, names, sketch=sketch)
+    table = basic.join(F.broadcast(quartiles), "column_name")  # a row per column
+    return table.select("column_name", "n", "mean", "std", "min", *names, "max")
 
 
 def describe_categorical(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
