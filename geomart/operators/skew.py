@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from geomart.operators.keys import row_hash
+
 
 def spread_keys(df: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
     """Add ``__salt``: rows of the keys in ``hot`` are dealt over their ``pieces``, all others get 0.
@@ -35,6 +37,10 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_by: list[str | Column], n: int = 1) -> DataFrame:
-    """The first ``n`` rows of each key. Each map task keeps ``n`` rows per key before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
-    return df.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")
+    """The first ``n`` rows of each key, equal ones in the order by a hash of the row.
+
+    Each map task keeps ``n`` rows per key before the shuffle.
+    """
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by, "__tie"))
+    ranked = df.withColumn("__tie", row_hash(df)).withColumn("__rank", rank)
+    return ranked.where(F.col("__rank") <= n).drop("__rank", "__tie")

@@ -134,6 +134,9 @@ def test_session_splits_skewed_joins(spark):
 def test_first_per_key(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 5)], "k string, v int")
     assert rows(first_per_key(df, ["k"], ["v"])) == [("a", 1), ("b", 5)]
+    ties = spark.createDataFrame([("a", 1, f"x{i}") for i in range(40)], "k string, v int, w string")
+    kept = {first_per_key(ties.repartition(n), ["k"], ["v"]).first().w for n in (1, 3, 8)}
+    assert len(kept) == 1
     plan = first_per_key(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 1
 
