@@ -38,6 +38,7 @@ SEED = 16
 SPAN = LENGTH - SEED + 1  # seeds in a string
 WIDTH = LENGTH + SPAN - 1  # bytes of a piece at most
 PART_BYTES = 1 << 19
+COLLECTION = 4000  # pieces
 PLACE = np.uint64((1 << 20) - 1)
 
 MESSAGE = "bucket int, sender int, body binary"
@@ -58,12 +59,16 @@ def unpack(body: bytes, *types: str) -> list[np.ndarray]:
     return out
 
 
+_BYTES = np.random.RandomState(9).randint(0, 1 << 62, 256, dtype=np.int64).astype(np.uint64)
+_ODD = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F)]
+
+
 def seeds(raw: np.ndarray) -> np.ndarray:
     """Hash of the 16 bytes from each place (the last 15 places have none)."""
-    h = mix(raw.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    for step in (1, 2, 4, 8):
-        h = mix(h[:-step] * np.uint64(0xD6E8FEB86659FD93) + h[step:])
-    return h
+    h = _BYTES[raw]
+    for step, odd in zip((1, 2, 4, 8), _ODD):
+        h = h[:-step] * odd + h[step:]
+    return mix(h)
 
 
 def parts(sizes: list[int]) -> Iterator[list[tuple[int, int, int]]]:
@@ -140,47 +145,36 @@ class Pieces:
         numbers = np.array([-1 if i is None else i for i in self.ids], np.int64)
         null = np.array([i is None for i in self.ids], bool)
         lists = [unpack(m, "<i8", "<u8") for m in wanted.column("body").to_pylist()]
-        senders = wanted.column("sender").to_pylist()
-        # (document, bucket of the seed, seed) that were sent back
-        keys = {}
-        for sender, (ids, seed) in zip(senders, lists):
-            keys.setdefault(sender, []).append((ids, seed))
+        keys = [pair_hash(ids, seeds_, sender) for (ids, seeds_), sender in zip(lists, wanted.column("sender").to_pylist())]
+        known = np.sort(np.concatenate(keys)) if keys else np.zeros(1, np.uint64)
         found = []
         for raw, doc, first, shift, strings, seed in pieces_of(self.texts):
-            good = np.zeros(len(doc), bool)
             target = bucket_of(seed, buckets)
-            for bucket, at in by_value(target):
-                for ids, seeds_ in keys.get(bucket, ()):  # one list a bucket
-                    good[at] |= in_pairs(numbers[doc[at]], short(seed[at]), ids, seeds_)
-            good &= ~null[doc]
-            doc, first, shift, strings, target = (x[good] for x in (doc, first, shift, strings, target))
+            ask = pair_hash(numbers[doc], short(seed), target)
+            good = (known[np.minimum(np.searchsorted(known, ask), len(known) - 1)] == ask) & ~null[doc]
+            doc, first, shift, strings, target, seed = (x[good] for x in (doc, first, shift, strings, target, seed))
             if not len(doc):
                 continue
             size = strings + LENGTH - 1
             grid = np.minimum(first[:, None] + np.arange(WIDTH), len(raw) - 1)
             rows_ = np.where(np.arange(WIDTH) < size[:, None], raw[grid], 0).astype(np.uint8)
             rows_ = np.concatenate((rows_, size[:, None].astype(np.uint8)), axis=1)
-            found.append((doc, first + shift, strings, target, np.frombuffer(rows_.tobytes(), f"S{WIDTH + 1}")))
+            found.append((doc, first + shift, strings, target, seed, np.frombuffer(rows_.tobytes(), f"S{WIDTH + 1}")))
         if found:
-            self.doc, self.start, self.strings, target, raw_pieces = (np.concatenate(x) for x in zip(*found))
+            self.doc, self.start, self.strings, target, seed, raw_pieces = (np.concatenate(x) for x in zip(*found))
             self.distinct, one, self.which = np.unique(raw_pieces, return_index=True, return_inverse=True)
-            self.target, self.length = target[one], self.strings[one]
+            self.target, self.length, self.seed = target[one], self.strings[one], (short(seed[one]) & np.uint64(0xFFFFFFFF)).astype("<u4")
             self.number = numbers[self.doc]
             self.least = np.full(len(self.distinct), np.iinfo(np.int64).max)
             np.minimum.at(self.least, self.which, self.number)
         else:
             self.distinct = np.zeros(0, f"S{WIDTH + 1}")
-            self.doc = self.start = self.strings = self.which = self.target = self.length = self.number = self.least = np.zeros(0, np.int64)
+            self.seed = self.doc = self.start = self.strings = self.which = self.target = self.length = self.number = self.least = np.zeros(0, np.int64)
 
 
-def in_pairs(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Which pairs of ``a, b`` are among those of ``x, y`` (sorted by ``x``, then ``y``)."""
-    both = np.concatenate((x, a))
-    _, code = np.unique(both, return_inverse=True)
-    code = code.astype(np.uint64)
-    have = code[: len(x)] << np.uint64(40) | y
-    ask = code[len(x) :] << np.uint64(40) | b
-    return np.isin(ask, have)
+def pair_hash(doc: np.ndarray, seed: np.ndarray, bucket: np.ndarray | int) -> np.ndarray:
+    """One number for document and seed; two taken for one only make a piece be looked at."""
+    return mix(doc.astype(np.uint64) * _ODD[0] + mix(seed << np.uint64(24) | np.asarray(bucket).astype(np.uint64)))
 
 
 def column_order(rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,6 +189,8 @@ def column_order(rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.nda
     begin = ends - size
     at = np.arange(WIDTH) < size[:, None]
     flat[(begin[:, None] + np.arange(WIDTH))[at]] = rows[at] + 1
+    # places fit 32 bits unless a bucket is far above its size; smaller arrays stay in the cache
+    ends = ends.astype(np.int32 if len(flat) < 1 << 31 else np.int64)
     order = ends.copy()
     for _ in range(int(size.max()) if len(size) else 0):
         symbol = flat[order - 1]
@@ -204,11 +200,35 @@ def column_order(rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.nda
     return order, begin
 
 
-def smallest_ids(distinct: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each string of ``LENGTH`` bytes in each piece (in a row) the smallest id of any piece that has it; and where each piece begins in that row."""
+def smallest_ids(distinct: np.ndarray, least: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each string of ``LENGTH`` bytes in each piece (in a row) the smallest id of any piece that has it; and where each piece begins in that row.
+
+    Pieces with different seeds have no string in common, so a piece that is alone with its
+    seed is a collection of one and its own id the smallest. The others are put in order.
+    """
     grid = np.frombuffer(distinct.tobytes(), np.uint8).reshape(-1, WIDTH + 1)
+    strings = grid[:, WIDTH].astype(np.int64) - LENGTH + 1
+    offset = np.cumsum(strings) - strings
+    out = np.repeat(least, strings)
+    _, group, times = np.unique(seed, return_inverse=True, return_counts=True)
+    several = np.flatnonzero(times[group] > 1)
+    several = several[np.argsort(group[several], kind="stable")]
+    borders = np.append(np.flatnonzero(np.diff(group[several])) + 1, len(several))
+    begin = 0
+    while begin < len(several):  # whole groups, about so many pieces that their arrays stay in the cache
+        end = int(borders[np.searchsorted(borders, min(begin + COLLECTION, len(several)))])
+        part = several[begin:end]
+        low, _ = compared(np.ascontiguousarray(grid[part]), least[part])
+        n = strings[part]
+        out[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(offset[part], n)] = low
+        begin = end
+    return out, offset
+
+
+def compared(grid: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`smallest_ids`, by the order of all suffixes."""
     size = grid[:, WIDTH].astype(np.int64)
-    rows = grid[:, :WIDTH]
+    rows = np.ascontiguousarray(grid[:, :WIDTH])
     order, begin = column_order(rows, size)
     strings = size - LENGTH + 1
     offset = np.cumsum(strings) - strings
@@ -217,7 +237,7 @@ def smallest_ids(distinct: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, n
     long_ = place < strings[piece]
     piece, place = piece[long_], place[long_]
     # neighbours in order with LENGTH bytes in common are the same string
-    windows = np.lib.stride_tricks.sliding_window_view(rows.reshape(-1) if rows.flags.c_contiguous else np.ascontiguousarray(rows).reshape(-1), LENGTH)
+    windows = np.lib.stride_tricks.sliding_window_view(rows.reshape(-1), LENGTH)
     same = np.zeros(len(piece), bool)
     for a in range(1, len(piece), 1 << 18):
         b = min(len(piece), a + (1 << 18))
@@ -257,15 +277,16 @@ def repeated_ranges(docs: DataFrame, finish, schema: str, bucket_bytes: int = BU
             ids, senders = b.column("doc_id").to_pylist(), b.column("bucket").to_numpy()
             raw = [t.as_py().encode() if i is not None else b"" for i, t in zip(ids, b.column("text"))]
             numbers = np.array([-1 if i is None else i for i in ids], np.int64)
+            found = [(doc, seed) for _, doc, _, _, _, seed in pieces_of(raw)]
             out = []
-            for _, doc, _, _, _, seed in pieces_of(raw):
+            if found:
+                doc, seed = (np.concatenate(x) for x in zip(*found))
                 for bucket, at in by_value(bucket_of(seed, buckets)):
-                    entries = np.unique(np.stack([doc[at].astype(np.uint64), short(seed[at])], axis=1), axis=0)
-                    local = entries[:, 0].astype(np.int64)
+                    entries = np.unique(doc[at].astype(np.uint64) << np.uint64(40) | short(seed[at]))
+                    local = (entries >> np.uint64(40)).astype(np.int64)
                     held = np.unique(local)
-                    code = np.searchsorted(held, local).astype("<u2" if len(held) < 1 << 16 else "<u4")
-                    low, high = (entries[:, 1] & np.uint64(0xFFFFFFFF)).astype("<u4"), (entries[:, 1] >> np.uint64(32)).astype("u1")
-                    body = [numbers[held], senders[held].astype("<i4"), code.astype("<u4"), low, high]
+                    low, high = (entries & np.uint64(0xFFFFFFFF)).astype("<u4"), (entries >> np.uint64(32) & np.uint64(0xFF)).astype("u1")
+                    body = [numbers[held], senders[held].astype("<i4"), np.searchsorted(held, local).astype("<u4"), low, high]
                     out.append((bucket, 0, pack(*body)))
             yield pa.RecordBatch.from_pydict(table(out), schema=message)
 
@@ -296,19 +317,19 @@ def repeated_ranges(docs: DataFrame, finish, schema: str, bucket_bytes: int = BU
             return pa.table(table([]), schema=message)
         own = group.column("bucket")[0].as_py()
         p = Pieces(group, wanted, buckets)
-        out = [(bucket, own, pack(p.distinct[at], p.least[at])) for bucket, at in by_value(p.target)]
+        out = [(bucket, own, pack(p.distinct[at], p.least[at], p.seed[at])) for bucket, at in by_value(p.target)]
         return pa.table(table(out), schema=message)
 
     def compare(group: pa.Table) -> pa.Table:
         own, senders = group.column("bucket")[0].as_py(), group.column("sender").to_pylist()
-        lists = [unpack(x.as_py(), f"S{WIDTH + 1}", "<i8") for x in group.column("body")]
-        distinct, which = np.unique(np.concatenate([x for x, _ in lists]), return_inverse=True)
+        lists = [unpack(x.as_py(), f"S{WIDTH + 1}", "<i8", "<u4") for x in group.column("body")]
+        distinct, one, which = np.unique(np.concatenate([x for x, _, _ in lists]), return_index=True, return_inverse=True)
         least = np.full(len(distinct), np.iinfo(np.int64).max)
-        np.minimum.at(least, which, np.concatenate([y for _, y in lists]))
-        low, offset = smallest_ids(distinct, least)
+        np.minimum.at(least, which, np.concatenate([y for _, y, _ in lists]))
+        low, offset = smallest_ids(distinct, least, np.concatenate([z for _, _, z in lists])[one])
         strings = np.diff(np.append(offset, len(low)))
         out, done = [], 0
-        for sender, (x, _) in zip(senders, lists):
+        for sender, (x, _, _) in zip(senders, lists):
             at = which[done : done + len(x)]
             done += len(x)
             n = strings[at]
