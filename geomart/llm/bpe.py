@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geomart.llm.common import arrow_schema, texts_of
+from geomart.llm.common import arrow_schema, released, texts_of
 
 #: Unicode White_Space, the meaning of \s in the tokenizer (Python's \s has four more). Fixed values.
 SPACE = "\t-\r \x85\xa0  -     　"
-CACHE_PIECES = 1_000_000
-SLICE_CHARS = 12_000_000
+CACHE_PIECES = 150_000
+SLICE_CHARS = 2_000_000
 
 SCHEMA = "doc_id long, ids binary, decoded binary"
 
@@ -196,7 +196,7 @@ def mapped(df: DataFrame, ranks_path: str, pattern: str, schema: str, finish) ->
                 out = finish(rest.slice(part.start, part.stop - part.start), encoded, encoder)
                 yield pa.RecordBatch.from_pydict(out, schema=target)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +51,20 @@ def in_buckets(texts: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     return texts.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.md5("text")), F.lit(n)).cast("int"))
 
 
+def released(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``work``, after which the task gives its free memory back: Spark keeps the Python process for later
+    tasks and stages, and on one executor these processes add up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def arrow_schema(df: DataFrame, schema: str | StructType) -> pa.Schema:
     """Arrow form of a schema; ``df`` only makes sure that a session is at work."""
     return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)

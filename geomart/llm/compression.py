@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geomart.llm.common import arrow_schema, crc_of, texts_of
+from geomart.llm.common import arrow_schema, crc_of, released, texts_of
 
 #: Labelled rows of each class, at most, that the dictionaries are made of; as many again fit the curve.
 SAMPLE_ROWS = 1200
@@ -142,7 +142,7 @@ def score_texts(texts: DataFrame, model: Model) -> DataFrame:
             own = [b.column(c) for c in target.names[:-1]]
             yield pa.RecordBatch.from_arrays([*own, pa.array(p, pa.float64())], schema=target)
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(released(run), schema)
 
 
 FOLDS = 5

@@ -23,12 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from geomart.llm.common import LOWER, arrow_schema
+from geomart.llm.common import arrow_schema, LOWER, released
 from geomart.session import materialize
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 3_000_000
 
 #: Bytes outside words become spaces: all of ASCII but digits and letters.
 WORDS = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in LOWER)
@@ -163,7 +163,7 @@ def search(docs: DataFrame, items: list[tuple[int, str]], window: int) -> DataFr
             columns["matches"] = pa.array([(a or b"") + b for a, b in zip(before, found)], pa.binary())
             yield pa.RecordBatch.from_arrays([columns[c] for c in target.names], schema=target)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def longest_in(first: np.ndarray, item, item_at, at, words: int) -> list[tuple[int, np.ndarray]]:
@@ -257,7 +257,7 @@ def flag(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
                 schema=target,
             )
 
-    return found.mapInArrow(run, schema)
+    return found.mapInArrow(released(run), schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geomart.llm.common import arrow_schema, texts_of
+from geomart.llm.common import arrow_schema, released, texts_of
 from geomart.llm.shingles import SYMBOLS, WordHashes, set_digest, shingle_set, signature
 from geomart.session import materialize
 
@@ -53,7 +53,7 @@ def sign(docs: DataFrame) -> DataFrame:
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), target.types[1:])]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *columns], schema=target)
 
-    return docs.mapInArrow(run, SIGNED)
+    return docs.mapInArrow(released(run), SIGNED)
 
 
 def keys_of(signatures: np.ndarray) -> np.ndarray:
@@ -79,7 +79,7 @@ def index(classes: DataFrame) -> DataFrame:
             nodes = np.repeat(b.column("node").to_numpy(), keys.shape[1])
             yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(nodes)], schema=target)
 
-    return classes.select("node", "signature").mapInArrow(run, schema)
+    return classes.select("node", "signature").mapInArrow(released(run), schema)
 
 
 def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -119,7 +119,7 @@ def set_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             yield out.filter(pa.array(same))
 
     joined = docs.join(nodes, docs["doc_id"] == nodes["rep"]).select("node", "digest", "text")
-    return joined.mapInArrow(run, schema).groupBy("node").agg(F.first("shingles").alias("shingles"))
+    return joined.mapInArrow(released(run), schema).groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
 def as_set(raw: bytes) -> np.ndarray:
@@ -141,7 +141,7 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(run, schema)
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(released(run), schema)
 
 
 def distance_ok(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -160,7 +160,7 @@ def near_signatures(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
 
     a = signatures.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
     b = signatures.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(run, schema)
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(released(run), schema)
 
 
 def by_group(df: DataFrame, keys: list[str], work: Callable[[pa.Table], Iterator[dict]], schema: str) -> DataFrame:
@@ -192,7 +192,7 @@ def by_group(df: DataFrame, keys: list[str], work: Callable[[pa.Table], Iterator
         if out[target.names[0]]:
             yield pa.RecordBatch.from_pydict(out, schema=target)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(released(run), schema)
 
 
 def in_blocks(members: DataFrame, block: int) -> DataFrame:

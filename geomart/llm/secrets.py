@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from geomart.llm.common import arrow_schema, texts_of
+from geomart.llm.common import arrow_schema, released, texts_of
 
 # The rules, and the kinds in their order.
 ASSIGN = re.compile(
@@ -34,7 +34,7 @@ KINDS = ("assign", "access", "hex", "crf")
 #: Documents, at most, that the field learns from (chosen by hash of the id).
 SAMPLE_ROWS = 4000
 CONTEXT = 12
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 OUT, BEGIN, IN = 0, 1, 2
 NEVER = -1e9
@@ -311,7 +311,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field:
     texts = [r.text for r in sorted(rows, key=lambda r: r.doc_id)]
     if not any(texts):
         return Field()
-    parts = [windows(part) for part in in_slices(texts, SLICE_CHARS // 2)]
+    parts = [windows(part) for part in in_slices(texts, SLICE_CHARS)]
     features = np.concatenate([f for f, _, _ in parts], axis=1)
     tags, real = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
     return fit(features, tags, real) if len(tags) else Field()
@@ -355,7 +355,7 @@ def scan(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
             }
             yield pa.RecordBatch.from_pydict({c: out[c] for c in target.names}, schema=target)
 
-    return texts_of(docs).mapInArrow(run, schema)
+    return texts_of(docs).mapInArrow(released(run), schema)
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -385,4 +385,4 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", sample_rows: int = SAMPLE_RO
                 columns["n_chars"] = [len(t) if t is not None and t != old else n for t, old, n in zip(new, texts, own)]
             yield pa.RecordBatch.from_pydict({c: columns[c] for c in target.names}, schema=target)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

@@ -11,7 +11,7 @@ from geomart.llm.common import words_of
 
 SIZE = 5
 SYMBOLS = 64
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 200_000
 PART = 4096
 
 _random = np.random.RandomState(20)

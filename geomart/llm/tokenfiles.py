@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geomart.llm.common import BUCKET_BYTES, LOWER, arrow_schema, texts_of
+from geomart.llm.common import arrow_schema, BUCKET_BYTES, LOWER, released, texts_of
 from geomart.llm.rangecoder import decode_blocks, encode_blocks
 from geomart.llm.warc import open_fs
 from geomart.session import scratch_path
@@ -207,7 +207,7 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_I
 
     # equal ids stay in one shard, so the order of the shards is that of their first ids
     sorted_ = texts.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
-    written = sorted_.mapInArrow(run, SHARD).collect()  # one row per shard
+    written = sorted_.mapInArrow(released(run), SHARD).collect()  # one row per shard
     written.sort(key=lambda r: (r.least is not None, r.least))
     starts = np.cumsum([0] + [r.ids for r in written]).tolist()
     return [(r.path, s) for r, s in zip(written, starts)]
@@ -231,7 +231,7 @@ def read(spark: SparkSession, shards: list[tuple[str, int]]) -> DataFrame:
                         start += len(ids)
                 yield pa.RecordBatch.from_pydict(out, schema=target)
 
-    return listed.mapInArrow(run, ROW)
+    return listed.mapInArrow(released(run), ROW)
 
 
 def round_trip(docs: DataFrame, tokenizer_path: str, folder: str | None = None, shard_bytes: int = BUCKET_BYTES) -> DataFrame:

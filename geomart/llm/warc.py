@@ -20,7 +20,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geomart.llm.common import arrow_schema
+from geomart.llm.common import arrow_schema, released
 from geomart.session import materialize, scratch_path
 
 #: Equal payloads of fewer bytes are stored again and again instead of referred to.
@@ -163,7 +163,7 @@ def write(pages: DataFrame, folder: str, least: int = REVISIT_BYTES) -> list[str
         if n:
             yield pa.RecordBatch.from_pydict({"path": [path], "records": [n]}, schema=target)
 
-    return [r.path for r in typed(pages, least).mapInArrow(run, schema).collect()]  # one row per archive
+    return [r.path for r in typed(pages, least).mapInArrow(released(run), schema).collect()]  # one row per archive
 
 
 def read(spark, paths: list[str]) -> DataFrame:
@@ -197,7 +197,7 @@ def read(spark, paths: list[str]) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pydict(dict(zip(target.names, map(list, zip(*rows)))), schema=target)
 
-    return listed.mapInArrow(run, RECORD)
+    return listed.mapInArrow(released(run), RECORD)
 
 
 def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
