@@ -3,8 +3,7 @@
 The symbols of a text are its words (runs without white space; a longer run is cut every 12
 characters). A k-mer of five words is chosen if the smallest of its four two-word substrings, by hash, is
 its first or its last. Whether it is chosen depends on its five words alone, so an edit changes the
-choice only where it happens. About half of the k-mers are chosen; the fingerprint is the
-``SKETCH`` smallest of their hashes, and of shorter texts all of them.
+choice only where it happens. About half of the k-mers are chosen, and the fingerprint has all of them.
 """
 
 from __future__ import annotations
@@ -15,7 +14,6 @@ from pyspark.sql import functions as F
 from geomart.llm.common import texts_of
 from geomart.session import materialize
 
-SKETCH = 128
 WORD = r"\S{1,12}"
 
 
@@ -25,7 +23,7 @@ def shifted(values: Column, by: int) -> Column:
 
 
 def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add ``out``: sorted distinct hashes of the closed syncmers of ``text``, the smallest ``SKETCH``.
+    """Add ``out``: sorted distinct hashes of all closed syncmers of ``text``.
 
     A text of fewer than five words, or without a closed syncmer, has the hash of all its words; a text without words
     has none. Each step is a column of its own, so that no array is made twice.
@@ -38,7 +36,7 @@ def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
     closed = F.filter("__k", lambda x: x["d"].isNotNull() & (F.least(x["a"], x["d"]) <= F.least(x["b"], x["c"])))
     df = df.withColumn("__chosen", F.transform(closed, lambda x: F.hash(x["a"], x["c"], x["d"])))
     whole = F.when(F.size("__h") > 0, F.array(F.hash("__h"))).otherwise(F.array().cast("array<int>"))
-    df = df.withColumn(out, F.when(F.size("__chosen") > 0, F.slice(F.sort_array(F.array_distinct("__chosen")), 1, SKETCH)).otherwise(whole))
+    df = df.withColumn(out, F.when(F.size("__chosen") > 0, F.sort_array(F.array_distinct("__chosen"))).otherwise(whole))
     return df.drop("__h", "__two", "__k", "__chosen")
 
 
@@ -49,10 +47,10 @@ def as_text(anchors: str) -> Column:
 
 
 def likeness(a: str, b: str) -> Column:
-    """Share of common anchors among the ``SKETCH`` smallest of both; 1 if neither has any."""
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    common = F.size(F.array_intersect(both, F.array_intersect(a, b)))
-    return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(common / F.size(both))
+    """Share of common anchors among all anchors of both; 1 if neither has any."""
+    common = F.array_size(F.array_intersect(a, b))  # null if one is null, whatever the session's settings
+    both = F.array_size(a) + F.array_size(b) - common  # anchors are distinct
+    return F.when(both == 0, F.lit(1.0)).otherwise(common / both)
 
 
 def neighbours(texts: DataFrame) -> DataFrame:

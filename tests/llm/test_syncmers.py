@@ -54,3 +54,15 @@ def test_plan_has_no_python_and_shuffles_texts_once(spark, docs):
     assert "Python" not in plan and "Arrow" not in plan
     assert docs.where("false").count() == 0 and Y.fingerprints(docs.where("false")).count() == 0
     assert Y.fingerprints(docs.where("doc_id = 20002")).count() == 1
+
+
+def test_long_texts_keep_every_anchor(spark):
+    """Two long texts that share a short passage share all anchors inside it."""
+    shared = [f"s{i}" for i in range(300)]
+    a, b = ([f"{c}{i}" for i in range(8000)] for c in "ab")
+    rows = [(1, " ".join(a[:4000] + shared + a[4000:])), (2, " ".join(b[:1000] + shared + b[1000:])), (3, " ".join(shared))]
+    prints = {r.doc_id: r for r in Y.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: {r.fingerprint[j : j + 8] for j in range(0, len(r.fingerprint), 8)} for i, r in prints.items()}
+    assert 0.45 * 8296 < len(sets[1]) < 0.55 * 8296 and 0.45 * 296 < len(sets[3]) < 0.55 * 296
+    assert sets[3] <= sets[1] and sets[3] <= sets[2]
+    assert prints[2].near_next == len(sets[1] & sets[2]) / len(sets[1] | sets[2]) > 0
