@@ -66,3 +66,23 @@ def test_long_texts_keep_every_anchor(spark):
     assert 0.45 * 8296 < len(sets[1]) < 0.55 * 8296 and 0.45 * 296 < len(sets[3]) < 0.55 * 296
     assert sets[3] <= sets[1] and sets[3] <= sets[2]
     assert prints[2].near_next == len(sets[1] & sets[2]) / len(sets[1] | sets[2]) > 0
+
+
+def test_places_locate_shared_passages(spark):
+    """Paragraphs in another order share anchors at one offset each; places are those of a brute force."""
+    one, two = ([f"{c}{i}" for i in range(60)] for c in "pq")
+    rows = [(1, " ".join(one + two)), (2, " ".join(two + ["new"] * 7 + one)), (3, "a b"), (None, "a b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = {r.doc_id: r for r in Y.fingerprints(docs).collect()}
+    assert [p.at for p in prints[3].places] == [0] and [p.hash for p in prints[None].places] == [prints[3].places[0].hash]
+    at = [p.at for p in prints[1].places]
+    assert at == sorted(set(at)) and max(at) <= 115
+    places = {i: [(p.hash, p.at) for p in prints[i].places] for i in (1, 2)}
+    want = {}
+    for h, x in places[1]:
+        for g, y in places[2]:
+            if h == g:
+                want.setdefault(y - x, []).append(x)
+    assert set(want) == {-60, 67} and all(len(w) > 15 for w in want.values())
+    got = Y.passages(docs.where("doc_id = 1"), docs.where("doc_id = 2")).collect()
+    assert {(r.left_id, r.right_id, r.offset, r.n, r["first"], r["last"]) for r in got} == {(1, 2, o, len(w), min(w), max(w)) for o, w in want.items()}
