@@ -1,8 +1,9 @@
 """Document fingerprints from closed syncmers, in DataFrame functions only.
 
-The symbols of a text are its words (runs without white space; a longer run is cut every 12
-characters). A k-mer of five words is chosen if the smallest of its four two-word substrings, by hash, is
-its first or its last. Whether it is chosen depends on its five words alone, so an edit changes the
+The symbols of a text are its words (runs without white space). A run of more than 24 characters, as in languages
+without spaces, has a symbol at each of its characters: this and the next seven, so that no cut depends on where
+the run begins. A k-mer of five words is chosen if the smallest of its four two-word substrings, by hash, is
+its first or its last. Whether it is chosen depends on its five symbols alone, so an edit changes the
 choice only where it happens. About half of the k-mers are chosen, and the fingerprint has all of them.
 """
 
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from geomart.llm.common import texts_of
 from geomart.session import materialize
 
-WORD = r"\S{1,12}"
+#: A word, or a character of a longer run; group 1 is its symbol.
+WORD = r"(?=((?<!\S)\S{1,24}(?!\S)|\S{1,8}))(?:(?<!\S)\S{1,24}(?!\S)|\S)"
 
 
 def shifted(values: Column, by: int) -> Column:
@@ -23,12 +25,12 @@ def shifted(values: Column, by: int) -> Column:
 
 
 def with_places(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add ``out``: ``(hash, at)`` of each closed syncmer of ``text`` in its order; ``at`` is the number of its first word.
+    """Add ``out``: ``(hash, at)`` of each closed syncmer of ``text`` in its order; ``at`` is the number of its first symbol.
 
-    A text of fewer than five words, or without a closed syncmer, has the hash of all its words at 0; a text without words
+    A text of fewer than five symbols, or without a closed syncmer, has the hash of all of them at 0; a text without words
     has none. Each step is a column of its own, so that no array is made twice.
     """
-    df = df.withColumn("__h", F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w)))
+    df = df.withColumn("__h", F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(1)), lambda w: F.xxhash64(w)))
     df = df.withColumn("__two", F.slice(F.zip_with("__h", shifted(F.col("__h"), 1), lambda a, b: F.xxhash64(a, b)), 1, F.greatest(F.size("__h") - 1, F.lit(0))))
     two = F.col("__two")
     df = df.withColumn("__k", F.arrays_zip(two.alias("a"), shifted(two, 1).alias("b"), shifted(two, 2).alias("c"), shifted(two, 3).alias("d")))
@@ -98,7 +100,7 @@ def passages(left: DataFrame, right: DataFrame, id_col: str = "doc_id", text_col
     """``left_id, right_id, offset, n, first, last``: anchors that two texts share, by the offset of their places.
 
     All pairs of a left and a right document that share an anchor are there, each with every offset (place in the right
-    text less place in the left one) at which anchors meet: ``n`` of them, the first and last at these words of the left
+    text less place in the left one) at which anchors meet: ``n`` of them, the first and last at these symbols of the left
     text. A passage that moved has one offset; paragraphs in another order have one each. No anchor is left out for being frequent,
     so an anchor with a places on the left and b on the right is a x b rows of the join before they are
     counted. Rows with a null id are left out; of rows that repeat an id the smallest text counts.
@@ -122,7 +124,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     order of ids (after the last: the first). A null text is empty; of rows that repeat an id, the one with
     the smallest text is "the next document" for others, and each comes back; rows with a
     null id have no next document: their edited text is their text without its last half,
-    and ``near_next`` is null. ``places`` and ``edited_places`` hold each anchor's hash and word
+    and ``near_next`` is null. ``places`` and ``edited_places`` hold each anchor's hash and symbol
     number in the order of the text; fingerprints and likeness derive from them. An empty table gives no rows; further columns are not read.
     """
     texts = texts_of(docs, id_col, text_col)

@@ -86,3 +86,16 @@ def test_places_locate_shared_passages(spark):
     assert set(want) == {-60, 67} and all(len(w) > 15 for w in want.values())
     got = Y.passages(docs.where("doc_id = 1"), docs.where("doc_id = 2")).collect()
     assert {(r.left_id, r.right_id, r.offset, r.n, r["first"], r["last"]) for r in got} == {(1, 2, o, len(w), min(w), max(w)) for o, w in want.items()}
+
+
+def test_anchors_of_unspaced_runs_do_not_depend_on_their_beginning(spark):
+    """One character more at the front of an unspaced run leaves the anchors after it, one place on."""
+    run = "".join(chr(0x4E00 + i * i * 7919 % 5000) for i in range(600))
+    rows = [(0, run), (1, run[:3] + "\u4e8c" + run[3:]), (2, "a b " + run[100:400] + " c"), (3, "x" * 24 + " " + "y" * 25)]
+    df = Y.with_places(spark.createDataFrame(rows, "i int, text string"), "text", "p")
+    p = {r.i: {(x.hash, x.at) for x in r.p} for r in df.collect()}
+    assert len(p[0]) > 0.35 * 596 and len([x for x in p[0] if x[1] > 3]) == len(p[0] & {(h, at - 1) for h, at in p[1]} - {x for x in p[0] if x[1] <= 3})
+    inside = {h for h, at in p[2] if 2 <= at < 2 + 300 - 12}
+    assert len(inside) > 100 and inside <= {h for h, _ in p[0]}
+    symbols = spark.createDataFrame(rows[3:], "i int, text string").selectExpr(f"regexp_extract_all(text, r'{Y.WORD}', 1) AS s").first().s
+    assert symbols[0] == "x" * 24 and symbols[1:] == ["y" * min(8, 25 - i) for i in range(25)]
