@@ -317,12 +317,24 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field:
     return fit(features, tags, real) if len(tags) else Field()
 
 
+def outside(start: int, end: int, base: list[tuple[int, int, int]], text: str) -> Iterator[tuple[int, int]]:
+    """The parts of a span that no rule's hit covers, without white space at their ends."""
+    for a, _, b in [*base, (end, 0, end)]:
+        if a > start:
+            part = text[start : min(a, end)]
+            if part.strip():
+                yield start + len(part) - len(part.lstrip()), start + len(part.rstrip())
+        start = max(start, b)
+        if start >= end:
+            return
+
+
 def find_spans(texts: list[str], model: Field) -> Iterator[list[tuple[int, int, int]]]:
-    """``(start, kind, end)`` of each text: hits of the rules, and spans of the field that touch none."""
+    """``(start, kind, end)`` of each text: hits of the rules, and what the field's spans hold beside them."""
     for part in in_slices(texts, SLICE_CHARS):
         for text, more in zip(part, tagged(part, model)):
             base = [(s, k, e) for s, k, e, _ in base_spans(text)]
-            added = [(s, 3, e) for s, e in more if not any(s < y and x < e for x, _, y in base)]
+            added = [(a, 3, b) for s, e in more for a, b in outside(s, e, base, text)]
             yield sorted(base + added)
 
 
@@ -359,7 +371,7 @@ def scan(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The documents with each secret span (joined where they overlap) replaced by ``mark``.
+    """The documents with each secret span (joined where they overlap or touch) replaced by ``mark``.
 
     Keeps all rows and columns; an integer ``n_chars`` is the length of the new text.
     """
@@ -371,12 +383,12 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", sample_rows: int = SAMPLE_RO
             texts = b.column("text").to_pylist()
             new = []
             for text, spans in zip(texts, find_spans([t or "" for t in texts], model)):
-                parts, done = [], 0
+                parts, done = [], -1
                 for s, _, e in spans:
                     if e <= done:
                         continue
-                    if s >= done:
-                        parts += [text[done:s], mark]
+                    if s > done:
+                        parts += [text[max(done, 0) : s], mark]
                     done = e
                 new.append(text if not spans else "".join(parts) + text[done:])
             columns = dict(zip(b.schema.names, b.columns)) | {"text": pa.array(new, pa.string())}

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from geomart.llm import secrets as S
@@ -92,3 +93,32 @@ def test_redaction_keeps_rows_and_columns(spark, docs):
 
 def test_empty_table(docs):
     assert S.scan(docs.where(F.lit(False))).count() == 0
+
+
+def test_field_spans_that_touch_a_rule_keep_their_rest(spark, monkeypatch):
+    text = "so password=hunter2024$Xy9Kq81 or AKIA" + "A" * 16 + " pass Zz81kQ0w9"
+    end = text.index("$")
+    key = text.index("AKIA")
+    spans = [(text.index("hunter"), text.index(" or")), (key, len(text))]
+    monkeypatch.setattr(S, "tagged", lambda texts, model: [spans for _ in texts])
+    assert next(S.find_spans([text], None)) == [(3, 0, end), (end, 3, end + 8), (key, 1, key + 20), (key + 21, 3, len(text))]
+    assert list(S.outside(0, 5, [(0, 0, 5)], "abcde")) == list(S.outside(0, 5, [(0, 0, 4)], "abcd ")) == []
+    assert list(S.outside(0, 9, [(0, 0, 2), (1, 0, 5), (7, 0, 9)], "a b c d e")) == [(6, 7)]
+    assert list(S.outside(0, 9, [(2, 0, 3)], "a b c d e")) == [(0, 1), (4, 9)]
+    assert list(S.outside(4, 6, [(0, 0, 5)], "abcdefgh")) == [(5, 6)]
+
+
+def test_redaction_replaces_the_union(spark, docs, monkeypatch):
+    monkeypatch.setattr(S, "train", lambda docs, sample_rows: None)
+    monkeypatch.setattr(S, "find_spans", lambda texts, model: ([(0, 0, 4), (4, 3, 6), (8, 2, 9)] for _ in texts))
+    batches = []
+
+    def held(self, run, schema):
+        batches.append(run)
+        return self
+
+    monkeypatch.setattr(type(docs), "mapInArrow", held)
+    df = docs.sparkSession.createDataFrame([("abcdefghijk",)], "text string")
+    S.redact(df)
+    out = list(batches[0]([pa.RecordBatch.from_pydict({"text": ["abcdefghijk"]})]))
+    assert out[0].column("text").to_pylist() == ["[SECRET]gh[SECRET]jk"]
