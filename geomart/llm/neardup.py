@@ -5,7 +5,7 @@
    most ``MAX_DISTANCE`` = 31 symbols have, by the pigeonhole principle, a chunk with at most
    one error. Each class is entered under each chunk with each one symbol left out (64 keys),
    so every such pair shares a key. Sets with similarity 0.75 differ in 16 symbols on average;
-   the chance of more than 31 is below 1e-5.
+   the chance of more than 31 is about 1.5e-5.
 3. Per key, each class is compared with the key's smallest class only. What links is
    confirmed on the full sets and joined into components, which dissolves groups of copies in linear time.
 4. Exact rest: keys that still hold several components are cut into blocks; a task gets two
