@@ -10,7 +10,9 @@ from geomart.llm import (
     bpe,
     compression,
     decontaminate,
+    frames,
     lattice,
+    licenses,
     neardup,
     repeats,
     secrets,
@@ -115,3 +117,42 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Syncmer fingerprints of every document and its edited text."""
     return syncmers.fingerprints(read(spark, sf_dir, "documents"))
+
+
+@query("op11_licenses")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notice phrases and evaluated licence expressions in every document."""
+    return licenses.summary(read(spark, sf_dir, "documents"))
+
+
+@query(
+    "op12_fill_in_middle",
+    """
+    WITH d AS (
+      SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS lines,
+        sha256('7:' || CAST(doc_id AS VARCHAR)) AS h FROM documents
+    ), c AS (
+      SELECT *, CASE WHEN t = '' THEN 0 WHEN right(t, 1) = chr(10) THEN len(lines) - 1 ELSE len(lines) END AS n,
+        CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+        CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d
+    ), u AS (
+      SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+             WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c
+    ), k AS (
+      SELECT *, least(length(t), a + coalesce(length(array_to_string(lines[1:a], '')), 0)) AS p,
+        least(length(t), b + coalesce(length(array_to_string(lines[1:b], '')), 0)) AS q FROM u
+    ), s AS (
+      SELECT *, substr(t, 1, p) AS prefix, substr(t, p + 1, q - p) AS middle, substr(t, q + 1) AS suffix FROM k
+    )
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+      CAST(CASE WHEN form <> 'plain' THEN p END AS BIGINT) AS prefix_chars,
+      CAST(CASE WHEN form <> 'plain' THEN q - p END AS BIGINT) AS middle_chars,
+      sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+             ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+      sha256(t) AS restored_sha256 FROM s
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its middle moved to the end, stored in frames and restored from them."""
+    return frames.round_trip(read(spark, sf_dir, "documents"))
