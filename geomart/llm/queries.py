@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from geomart.llm import (
+    alignment,
     bpe,
     compression,
     decontaminate,
@@ -156,3 +157,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its middle moved to the end, stored in frames and restored from them."""
     return frames.round_trip(read(spark, sf_dir, "documents"))
+
+
+@query("op13_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two vocabularies in every document, and how common they are."""
+    docs = read(spark, sf_dir, "documents")
+    return alignment.summary(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))

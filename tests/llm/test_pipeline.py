@@ -45,7 +45,7 @@ def test_stages_one_by_one(spark, tmp_path):
 
 def test_registered():
     names = E.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op3_warc", "op8_decontamination"])
