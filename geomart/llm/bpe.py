@@ -228,8 +228,12 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 
 def with_ids(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """The columns of ``docs`` but the text, and ``n_tokens, ids (binary, little-endian u32)``."""
-    rest = [c for c in docs.columns if c != "text"]
+    """The columns of ``docs`` but the text, and ``n_tokens, ids (binary, little-endian u32)``.
+
+    A null text is empty and has no ids; null ids and repeated rows pass through; an empty table gives no rows; texts of any
+    length are encoded whole. Columns of ``docs`` by the names ``n_tokens`` and ``ids`` (in any case) are replaced.
+    """
+    rest = [c for c in docs.columns if c.lower() not in ("text", "n_tokens", "ids")]
     own = docs.select(*[docs[c].alias(f"own{i}") for i, c in enumerate(rest)], F.coalesce(docs["text"], F.lit("")).alias("text"))
     schema = own.drop("text").withColumn("n_tokens", F.lit(0).cast("long")).withColumn("ids", F.lit(None).cast("binary")).schema
 

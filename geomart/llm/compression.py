@@ -91,7 +91,8 @@ def dictionary(texts: list[str]) -> bytes:
 def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Dictionaries and curve from at most ``4 * sample_rows`` labelled rows, chosen by hash.
 
-    ``learn`` says which ids may be learnt from (all, if not given). With labels of one class only, the score
+    ``learn`` says which ids may be learnt from (all, if not given). Of several texts under one id the smallest
+    counts, so the model doesn't follow the order of the rows. With labels of one class only, the score
     is the share of that class for every text.
     """
     known = labels.select(labels["doc_id"].alias("doc_id"), labels["quality"].alias("quality"))
@@ -102,7 +103,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sampl
     share = n.get(1, 0) / total if total else 0.5
     chosen = [known.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample_rows) for q in (0, 1)]
     chosen = chosen[0].unionAll(chosen[1])
-    rows = texts_of(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect()  # bounded by sample_rows
+    rows = texts_of(docs).join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("quality").alias("quality")).collect()  # sample_rows
     rows.sort(key=lambda r: (hash_of(r.doc_id), r.doc_id))
     dicts, rest = {}, []
     for q in (0, 1):
@@ -171,7 +173,11 @@ def predict(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier doesn't reject, with all their own columns."""
+    """The documents that the classifier doesn't reject, with all their own columns.
+
+    Null texts count as empty and get a score; null ids and repeated rows are judged like others; an empty table
+    gives no rows, and without labels every document stays.
+    """
     model = train(docs, labels, learnable())
     own = [docs[c].alias(f"own{i}") for i, c in enumerate(docs.columns)]
     out = score_texts(docs.select(*own, F.coalesce(docs["text"], F.lit("")).alias("text")), model)

@@ -261,7 +261,11 @@ def flag(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents that aren't contaminated, with all their own columns."""
+    """The documents that aren't contaminated, with all their own columns.
+
+    A null or empty text has no words and stays; null ids and repeated rows are judged like others; an empty table gives no
+    rows, and without items every document stays; texts of any length are searched whole.
+    """
 
     @F.pandas_udf("boolean")
     def clean(matches: pd.Series, n_words: pd.Series) -> pd.Series:

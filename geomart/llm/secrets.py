@@ -304,10 +304,14 @@ def windows(texts: list[str], other_each: int = 400) -> tuple[np.ndarray, np.nda
 
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field:
-    """A field taught by what the rules find in at most ``sample_rows`` documents, chosen by hash of the id."""
+    """A field taught by what the rules find in at most ``sample_rows`` documents, chosen by hash of the id.
+
+    Of several texts under one id the smallest counts, so the model doesn't follow the order of the rows.
+    """
     ids = docs.select(docs["doc_id"].alias("doc_id")).where("doc_id IS NOT NULL").distinct()
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    rows = texts_of(docs).join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).collect()  # sample_rows at most
+    rows = texts_of(docs).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    rows = rows.collect()  # sample_rows at most
     texts = [r.text for r in sorted(rows, key=lambda r: r.doc_id)]
     if not any(texts):
         return Field()
@@ -373,7 +377,9 @@ def scan(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[SECRET]", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The documents with each secret span (joined where they overlap or touch) replaced by ``mark``.
 
-    Keeps all rows and columns; an integer ``n_chars`` is the length of the new text.
+    Keeps all rows and columns; an integer ``n_chars`` is the length of the new text, one of another type stays as
+    it is. A null text stays null, an empty one empty; null ids and repeated rows pass through; an empty table gives
+    no rows; texts of any length are searched whole.
     """
     target = to_arrow_schema(docs.schema)
     model = train(docs, sample_rows)
@@ -392,7 +398,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", sample_rows: int = SAMPLE_RO
                     done = e
                 new.append(text if not spans else "".join(parts) + text[done:])
             columns = dict(zip(b.schema.names, b.columns)) | {"text": pa.array(new, pa.string())}
-            if "n_chars" in columns:
+            if "n_chars" in columns and pa.types.is_integer(columns["n_chars"].type):
                 own = columns["n_chars"].to_pylist()
                 columns["n_chars"] = [len(t) if t is not None and t != old else n for t, old, n in zip(new, texts, own)]
             yield pa.RecordBatch.from_pydict({c: columns[c] for c in target.names}, schema=target)

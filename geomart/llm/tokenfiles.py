@@ -51,17 +51,24 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        # the names of special tokens stand for their ids, but only as they are written
+        self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
         self.cores: dict[bytes, bytes] = {b"": b""}
 
+    def lowered(self, text: str) -> bytes:
+        """Only texts all of ASCII are lower-cased beforehand: with other letters the order of lower-casing and
+        composing could matter. Nor is a text in which the name of a special token would come up by it."""
+        raw = text.encode()
+        low = raw.translate(LOWER) if text.isascii() else raw
+        return raw if any(s in low for s in self.special) else low
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids as little-endian u32. Only texts all of ASCII are lower-cased beforehand: with
-        other letters the order of lower-casing and composing could matter."""
+        """Ids as little-endian u32."""
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
             self.cores = {b"": b""}
-        units = [(t.encode().translate(LOWER) if t.isascii() else t.encode()).split() for t in texts]
+        units = [self.lowered(t).split() for t in texts]
         new = list(set().union(*units).difference(self.known))
         cut = []
         for w in new:

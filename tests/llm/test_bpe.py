@@ -57,3 +57,11 @@ def test_columns_are_carried(docs):
     out = bpe.with_ids(docs, PATH, public_tokenizers.PATTERN)
     assert out.columns == [c for c in docs.columns if c != "text"] + ["n_tokens", "ids"]
     assert out.count() == docs.count() and bpe.digests(docs.where("false"), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_clashing_names_are_replaced(spark, tmp_path):
+    df = spark.createDataFrame([(1, "ab", "x", "y", 5), (None, None, None, None, None)], "doc_id long, text string, ids string, N_TOKENS string, own0 int")
+    out = bpe.with_ids(df, PATH, public_tokenizers.PATTERN)
+    assert out.columns == ["doc_id", "own0", "n_tokens", "ids"]
+    out.write.parquet(str(tmp_path / "o"))
+    assert sorted(spark.read.parquet(str(tmp_path / "o")).select("own0", "n_tokens").collect(), key=str) == [(5, 1), (None, 0)]

@@ -44,3 +44,11 @@ def test_filter_keeps_columns(docs, spark):
     out = C.keep_good(docs, labels)
     kept = C.predict(docs, labels).where("predicted = 1").count()
     assert out.columns == docs.columns and out.count() == kept
+
+
+def test_the_model_does_not_follow_the_order_of_rows(spark):
+    rows = [(i % 30, f"text {i} " * (1 + i % 5)) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    models = [C.train(d, labels) for d in (df.coalesce(1), df.repartition(5, "text"), df.orderBy(F.desc("text")))]
+    assert all((m.good, m.bad) == (models[0].good, models[0].bad) and (m.weights == models[0].weights).all() for m in models)

@@ -122,3 +122,16 @@ def test_redaction_replaces_the_union(spark, docs, monkeypatch):
     S.redact(df)
     out = list(batches[0]([pa.RecordBatch.from_pydict({"text": ["abcdefghijk"]})]))
     assert out[0].column("text").to_pylist() == ["[SECRET]gh[SECRET]jk"]
+
+
+def test_redact_with_odd_columns(spark):
+    rows = [(1, "token = abcdefgh", "x", 2.5), (2, None, None, None), (2, "", "y", 1.0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars string, start double")
+    assert sorted(map(tuple, S.redact(df).collect()), key=str) == sorted([(1, "[SECRET]", "x", 2.5), *rows[1:]], key=str)
+
+
+def test_the_model_does_not_follow_the_order_of_rows(spark):
+    rows = [(i % 7, f"password = abc{i}defgh{i} and more {i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    fields = [S.train(d) for d in (df.coalesce(1), df.repartition(5, "text"), df.orderBy(F.desc("text")))]
+    assert all((a == b).all() for f in fields[1:] for a, b in zip([*fields[0].tables, fields[0].steps], [*f.tables, f.steps]))

@@ -19,9 +19,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_files_hold_what_the_library_gives(docs, texts, tmp_path):
@@ -36,7 +34,8 @@ def test_files_hold_what_the_library_gives(docs, texts, tmp_path):
 
 def test_words_equal_whole_texts():
     r, t, w = random.Random(4), tokenizer(), K.Words(PATH)
-    texts = ["".join(r.choice(" \n\t\x1cab.,'sréÜß中1.!<|>_😀́K") for _ in range(70)) for _ in range(400)]
+    texts = ["hello <|endoftext|> world", "a<|ENDOFTEXT|>B", "X<|startoftext|>,y <|endoftext|><|endoftext|>. Z", "ü<|endoftext|>É,"]
+    texts += ["".join(r.choice(" \n\t\x1cab.,'sréÜß中1.!<|>_😀́K") for _ in range(70)) for _ in range(400)]
     for text, raw in zip(texts, w.encode(texts)):
         assert np.frombuffer(raw, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
 
