@@ -37,8 +37,8 @@ SPACE_BLANK = re.compile(r"\s ")
 #: The rule by which a byte-level vocabulary cuts texts before its merges. Fixed value.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-SLICE_CHARS = 2_000_000
-CACHE_STRETCHES = 500_000
+SLICE_CHARS = 1_000_000
+CACHE_STRETCHES = 250_000
 BLOCK_STRETCHES = 500
 LONG_STRETCH = 1_000
 BUCKET_PAIRS = 1 << 20
