@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -162,8 +163,16 @@ def violations(df: DataFrame, suite: Suite) -> DataFrame:
     return with_failures(df, suite).where(F.size("failed_checks") > 0)
 
 
+def require_suite_columns(columns: Sequence[str], suite: Suite) -> None:
+    """Refuse a table that lacks a column of the suite: no row of it could be told to pass."""
+    absent = sorted({e.column for e in suite.expectations}.difference(columns))
+    if absent:
+        raise QualityError(f"{suite.name}: no column {', '.join(absent)}")
+
+
 def split(df: DataFrame, suite: Suite) -> tuple[DataFrame, DataFrame]:
-    """(rows that pass every check, rows that fail one, with the labels)."""
+    """(rows that pass every check, rows that fail one, with the labels); all columns of the suite must be there."""
+    require_suite_columns(df.columns, suite)
     marked = with_failures(df, suite)
     return marked.where(F.size("failed_checks") == 0).drop("failed_checks"), marked.where(F.size("failed_checks") > 0)
 
@@ -186,3 +195,38 @@ def check_foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_k
     used = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     known = parent.select(F.col(parent_key).alias(column))
     return used.join(known, column, "left_anti")
+
+
+def broken_keys(
+    tables: Mapping[str, DataFrame], primary: Mapping[str, str], foreign: Sequence[tuple[str, str, str]]
+) -> DataFrame:
+    """``constraint, example, n``: one row per constraint that does not hold, with one key and the rows it breaks.
+
+    ``primary`` names the key of each table, ``foreign`` holds (child, column, parent). Every table is read once:
+    all its key columns are counted by value in one shuffle, with partial counts before it, and the counted keys of
+    children meet those of their parents in one join. Constraints whose parent isn't given are left out.
+    """
+    foreign = [f for f in foreign if f[2] in primary]
+    columns: dict[str, list[tuple[str, str]]] = {n: [(f"{n}.{k}", k)] for n, k in primary.items()}
+    for child, column, _ in foreign:
+        columns.setdefault(child, []).append((f"{child}.{column}", column))
+    parent_of = {f"{child}.{column}": f"{parent}.{primary[parent]}" for child, column, parent in foreign}
+    uses = None
+    for name, keys in columns.items():
+        pairs = F.array(*[F.struct(F.lit(label).alias("label"), F.col(c).cast("string").alias("value")) for label, c in keys])
+        part = tables[name].select(F.inline(pairs))
+        uses = part if uses is None else uses.unionByName(part)
+    counted = uses.groupBy("label", "value").agg(F.count(F.lit(1)).alias("n"))
+    own = F.col("label").isin([f"{n}.{k}" for n, k in primary.items()])
+    kind = F.when(F.col("value").isNull(), "is missing").when(own & (F.col("n") > 1), "comes twice")
+    alone = counted.select("label", "value", "n", kind.alias("kind")).where("kind IS NOT NULL")
+    if parent_of:
+        known = counted.where(own).select(F.col("label").alias("parent"), F.col("value").alias("key"))
+        children = counted.where(F.col("label").isin(list(parent_of)) & F.col("value").isNotNull())
+        links = F.create_map(*[F.lit(x) for pair in parent_of.items() for x in pair])
+        match = (F.col("up") == F.col("parent")) & (F.col("value") == F.col("key"))
+        lost = children.withColumn("up", links[F.col("label")]).join(known, match, "left_anti")
+        alone = alone.unionByName(lost.select("label", "value", "n", F.lit("has no member").alias("kind")))
+    return alone.groupBy(F.concat_ws(" ", "label", "kind").alias("constraint")).agg(
+        F.min("value").alias("example"), F.sum("n").alias("n")
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,7 @@ from geomart.functions.text import is_true_text, to_number, to_whole_number
 from geomart.operators.columns import require_columns
 from geomart.operators.keys import dense_key
 from geomart.operators.mapping import CATEGORY_GROUPS
-from geomart.operators.quality import check_foreign_key, check_unique
+from geomart.operators.quality import broken_keys, check_foreign_key, check_unique
 from geomart.operators.reshape import count_column
 from geomart.operators.skew import first_per_key
 from geomart.session import materialize, materialize_all
@@ -32,6 +33,16 @@ LOCATION_COLUMNS = ("neighbourhood_group", "neighbourhood", "lat", "long")
 PROPERTY_COLUMNS = ("property_name", "instant_bookable_flag", "cancellation_policy", "room_type", "construction_year")
 WRITTEN_DIMENSIONS = ("dim_host", "dim_property_location")
 LOAD_ORDER = ("dim_host", "dim_property_location", "dim_property", "dim_date", "fact_publication")
+#: Dimensions whose keys are given out in order.
+DIMENSION_KEYS = {"dim_host": "host_key", "dim_property_location": "property_location_key", "dim_property": "property_key"}
+PRIMARY_KEYS = {**DIMENSION_KEYS, "dim_date": "date_key"}
+#: The dimension each key of a fact leads to.
+FACT_KEYS = {
+    "property_key": "dim_property",
+    "host_key": "dim_host",
+    "property_location_key": "dim_property_location",
+    "last_review_date_key": "dim_date",
+}
 
 
 def verified_flag(c: Column) -> Column:
@@ -162,12 +173,13 @@ def fact_publication(df: DataFrame, host: DataFrame, location: DataFrame) -> Dat
     )
 
 
-def upsert_dimension(
-    dim: DataFrame, incoming: DataFrame, natural: list[str], key: str, order_by: list[str | Column]
+def new_members(
+    dim: DataFrame, incoming: DataFrame, natural: list[str], key: str, order_by: list[str | Column], top: int
 ) -> DataFrame:
-    """``dim`` plus the members of ``incoming`` it lacks, keyed above the present maximum.
+    """The members of ``incoming`` that ``dim`` lacks, keyed from ``top + 1`` on.
 
     A natural key that is NULL in all its columns names no member; NULLs within a composite one match each other.
+    Of ``dim`` only the natural key is read, and the smaller side of the join is up to the planner.
     """
     attributes = [c for c in dim.columns if c != key]
     named = F.lit(False)
@@ -176,8 +188,15 @@ def upsert_dimension(
     fresh = first_per_key(incoming.where(named), natural, order_by).select(*attributes)
     known = dim.select(*[F.col(c).alias(f"__known_{c}") for c in natural])
     fresh = fresh.join(known, [F.col(c).eqNullSafe(F.col(f"__known_{c}")) for c in natural], "left_anti")
+    return dense_key(fresh, key, natural, start=top + 1).select(*dim.columns)
+
+
+def upsert_dimension(
+    dim: DataFrame, incoming: DataFrame, natural: list[str], key: str, order_by: list[str | Column]
+) -> DataFrame:
+    """``dim`` plus the members of ``incoming`` it lacks, keyed above the present maximum."""
     top = dim.agg(F.coalesce(F.max(key), F.lit(0)).cast("long")).scalar()
-    return dim.unionByName(dense_key(fresh, key, natural, start=top + 1).select(*dim.columns))
+    return dim.unionByName(new_members(dim, incoming, natural, key, order_by, top))
 
 
 def build_star(df: DataFrame) -> dict[str, DataFrame]:
@@ -203,11 +222,28 @@ class LoadError(ValueError):
     """A batch that would break a key of the mart."""
 
 
-def append_facts(batch: DataFrame, star: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The star with the listings of ``batch`` added: members that are missing get keys above the present ones.
+def check_star(tables: Mapping[str, DataFrame]) -> None:
+    """Refuse a star with a key that is missing, given twice, or without its member.
 
-    All tables are written to the scratch folder and checked there: a publication that is already loaded or comes
-    twice, a fact without one of its keys, or a key without its member refuses the whole batch.
+    Constraints between tables that aren't all there, or on columns that they don't have, are left out.
+    """
+    primary = {n: k for n, k in PRIMARY_KEYS.items() if n in tables and k in tables[n].columns}
+    child = "fact_publication"
+    foreign = [(child, c, n) for c, n in FACT_KEYS.items() if n in primary and child in tables and c in tables[child].columns]
+    if not primary:
+        return
+    broken = broken_keys(tables, primary, foreign)
+    found = [f"{r.constraint}: {r.n} rows, such as {r.example}" for r in broken.collect()]  # one row per constraint
+    if found:
+        raise LoadError("; ".join(sorted(found)))
+
+
+def new_rows(batch: DataFrame, star: Mapping[str, DataFrame], top: Mapping[str, int]) -> dict[str, DataFrame]:
+    """What the listings of ``batch`` add to each table of a star whose highest keys are ``top``.
+
+    The rows are written to the scratch folder and checked there: a publication that is already loaded or comes
+    twice, a fact without one of its keys, or a key without its member refuses the whole batch. Of
+    the tables only natural keys and keys are read.
     """
     batch = materialize(batch, "batch")
     known = star["dim_property"].select("publication_key")
@@ -217,30 +253,40 @@ def append_facts(batch: DataFrame, star: dict[str, DataFrame]) -> dict[str, Data
     if not again.isEmpty():
         raise LoadError(f"publication {again.first()[0]} is there already or comes twice")
     hosts, places, props = host_members(batch, ["publication_key"]), location_members(batch), property_members(batch)
-    grown = materialize_all(
+    days = dim_date(batch).join(star["dim_date"].select("date_key"), "date_key", "left_anti")
+    rows = materialize_all(
         {
-            "dim_host": lambda: upsert_dimension(star["dim_host"], hosts, ["host_id"], "host_key", ["host_id"]),
-            "dim_property_location": lambda: upsert_dimension(
-                star["dim_property_location"], places, LOCATION_KEY, "property_location_key", LOCATION_KEY
+            "dim_host": lambda: new_members(star["dim_host"], hosts, ["host_id"], "host_key", ["host_id"], top["dim_host"]),
+            "dim_property_location": lambda: new_members(
+                star["dim_property_location"],
+                places,
+                LOCATION_KEY,
+                "property_location_key",
+                LOCATION_KEY,
+                top["dim_property_location"],
             ),
-            "dim_property": lambda: upsert_dimension(
-                star["dim_property"], props, ["publication_key"], "property_key", ["publication_key"]
+            "dim_property": lambda: new_members(
+                star["dim_property"], props, ["publication_key"], "property_key", ["publication_key"], top["dim_property"]
             ),
-            "dim_date": lambda: star["dim_date"].unionByName(dim_date(batch)).dropDuplicates(["date_key"]),
+            "dim_date": lambda: days.select(*star["dim_date"].columns),
         }
     )
-    keyed = batch.join(grown["dim_property"].select("publication_key", "property_key"), "publication_key", "left")
-    fresh = materialize(fact_publication(keyed, grown["dim_host"], grown["dim_property_location"]), "fact_batch")
-    parents = {
-        "property_key": ("dim_property", "property_key"),
-        "host_key": ("dim_host", "host_key"),
-        "property_location_key": ("dim_property_location", "property_location_key"),
-        "last_review_date_key": ("dim_date", "date_key"),
-    }
-    empty = fresh.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in parents]).first()
-    for c, (name, key) in parents.items():
+    keyed = batch.join(rows["dim_property"].select("publication_key", "property_key"), "publication_key", "left")
+    host, place = (star[n].unionByName(rows[n]) for n in ("dim_host", "dim_property_location"))
+    fact = materialize(fact_publication(keyed, host, place), "fact_batch")
+    # Keys that were found come from their dimension, so a missing one shows as NULL; only dates are taken as they are.
+    empty = fact.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in FACT_KEYS]).first()
+    for c in FACT_KEYS:
         if empty[c]:
             raise LoadError(f"{empty[c]} facts without {c}")
-        if not check_foreign_key(fresh, c, grown[name], key).isEmpty():
-            raise LoadError(f"facts whose {c} is not in {name}")
-    return {**grown, "fact_publication": star["fact_publication"].unionByName(fresh)}
+    every_day = star["dim_date"].select("date_key").unionByName(rows["dim_date"].select("date_key"))
+    if not check_foreign_key(fact, "last_review_date_key", every_day, "date_key").isEmpty():
+        raise LoadError("facts whose last_review_date_key is not in dim_date")
+    return {**rows, "fact_publication": fact}
+
+
+def append_facts(batch: DataFrame, star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The star with the listings of ``batch`` added (see :func:`new_rows`); no table is written again."""
+    top = {n: star[n].agg(F.coalesce(F.max(k), F.lit(0)).cast("long")).scalar() for n, k in DIMENSION_KEYS.items()}
+    rows = new_rows(batch, star, top)
+    return {n: star[n].unionByName(rows[n]) for n in LOAD_ORDER}

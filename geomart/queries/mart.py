@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from geomart.operators.keys import dense_key
 from geomart.operators.mapping import CATEGORY_GROUPS
 from geomart.operators.reshape import count_column
+from geomart.operators.quality import broken_keys
 from geomart.operators.star import (
+    LOAD_ORDER,
+    LOCATION_KEY,
     MEASURES,
-    WRITTEN_DIMENSIONS,
-    append_facts,
+    PROPERTY_COLUMNS,
     build_star,
     dim_date,
     dim_host,
@@ -20,7 +22,8 @@ from geomart.operators.star import (
 )
 from geomart.queries.base import coords, coords_sql, null_every, null_every_sql, query, table
 from geomart.session import scratch_path
-from geomart.sources.tables import FolderTables, load_star
+from geomart.sources.star_store import StarStore
+from geomart.sources.tables import load_star
 
 _lat, _lon = coords_sql("o_custkey", 37, 91)
 _counts = [count_column(g) for g in CATEGORY_GROUPS]
@@ -181,34 +184,79 @@ def star(spark, sf):
 
 @query(
     "truncate_and_load",
-    f"""SELECT 'dim_host' AS table_name, count(*) AS n FROM {HOST_SQL} UNION ALL
-    SELECT 'dim_property_location', count(*) FROM {LOCATION_SQL} UNION ALL
-    SELECT 'dim_property', count(*) FROM {PROPERTY_SQL} UNION ALL
-    SELECT 'dim_date', count(*) FROM {DATE_SQL} UNION ALL
-    SELECT 'fact_publication', count(*) FROM {WIDE_SQL}""",
+    f"""SELECT 'dim_host' AS table_name, host_key AS key, concat_ws('|', host_id, host_name, host_verification,
+      calculated_host_listings_count) AS held FROM {HOST_SQL} UNION ALL
+    SELECT 'dim_property_location', property_location_key, concat_ws('|', listing_neighbourhood_group, listing_neighbourhood,
+      listing_lat, listing_long) FROM {LOCATION_SQL} UNION ALL
+    SELECT 'dim_property', property_key, concat_ws('|', publication_key, property_name, instant_bookable_flag,
+      cancellation_policy, room_type, construction_year) FROM {PROPERTY_SQL} UNION ALL
+    SELECT 'dim_date', date_key, strftime(d, '%Y-%m-%d|%A|%B') FROM {DATE_SQL} UNION ALL
+    SELECT 'fact_publication', property_key, concat_ws('|', host_key, property_location_key, last_review_date_key,
+      minimum_nights::BIGINT, {", ".join(_counts)}) FROM {FACT_SQL}""",
 )
 def truncate_and_load(spark, sf):
-    target = FolderTables(spark, scratch_path(spark, "star"))
-    tables = build_star(wide_listings(spark, sf))
-    load_star(tables, target, ready=WRITTEN_DIMENSIONS)
-    names = load_star({n: target.read(n) for n in tables}, target)
-    sizes = [target.read(n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("table_name"), "n") for n in names]
-    result = sizes[0]
-    for size in sizes[1:]:
-        result = result.unionByName(size)
+    """The star loaded twice into one store; all rows of all tables as they are read back."""
+    target = StarStore(spark, scratch_path(spark, "star"))
+    load_star(build_star(wide_listings(spark, sf)), target)
+    load_star({n: target.read(n) for n in LOAD_ORDER}, target)
+    held = {
+        "dim_host": ("host_key", ["host_id", "host_name", "host_verification", "calculated_host_listings_count"]),
+        "dim_property_location": ("property_location_key", LOCATION_KEY),
+        "dim_property": ("property_key", ["publication_key", *PROPERTY_COLUMNS]),
+        "dim_date": ("date_key", ["full_date", "day_of_week", "month_name"]),
+        "fact_publication": (
+            "property_key",
+            ["host_key", "property_location_key", "last_review_date_key", F.col("minimum_nights").cast("long"), *_counts],
+        ),
+    }
+    result = None
+    for name, (key, columns) in held.items():
+        line = F.concat_ws("|", *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns])
+        part = target.read(name).select(F.lit(name).alias("table_name"), F.col(key).cast("long").alias("key"), line.alias("held"))
+        result = part if result is None else result.unionByName(part)
     return result
 
 
+@query(
+    "star_constraints",
+    """WITH parent AS (SELECT c_custkey AS host_key FROM customer WHERE c_custkey % 10 <> 0
+        UNION ALL SELECT c_custkey FROM customer WHERE c_custkey % 100 = 1),
+      child AS (SELECT o_orderkey AS fact_key, CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS host_key FROM orders)
+    SELECT * FROM (
+      SELECT 'dim_host.host_key comes twice' AS "constraint", min(CAST(host_key AS VARCHAR)) AS example, CAST(sum(n) AS BIGINT) AS n
+        FROM (SELECT host_key, count(*) AS n FROM parent GROUP BY 1 HAVING count(*) > 1) UNION ALL
+      SELECT 'fact_publication.host_key has no member', min(CAST(host_key AS VARCHAR)), count(*) FROM child
+        WHERE host_key NOT IN (SELECT host_key FROM parent) UNION ALL
+      SELECT 'fact_publication.host_key is missing', NULL, count(*) FROM child WHERE host_key IS NULL) WHERE n > 0""",
+)
+def star_constraints(spark, sf):
+    """Keys that are missing, given twice or without a member, in orders against some customers."""
+    k = F.col("c_custkey")
+    customers = table(spark, sf, "customer").select(k.alias("host_key"))
+    parent = customers.where("host_key % 10 <> 0").unionByName(customers.where("host_key % 100 = 1"))
+    child = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("fact_key"), null_every(7, "o_orderkey", F.col("o_custkey")).alias("host_key")
+    )
+    tables = {"dim_host": parent, "fact_publication": child}
+    return broken_keys(
+        tables, {"dim_host": "host_key", "fact_publication": "fact_key"}, [("fact_publication", "host_key", "dim_host")]
+    )
+
+
 @query(
     "fact_append",
     f"""SELECT publication_key, host_id, neighbourhood_group, neighbourhood, last_review, instant_bookable_flag, price,
       CAST(CAST(lat AS DECIMAL(10,7)) AS DOUBLE) AS lat, CAST(CAST(long AS DECIMAL(10,7)) AS DOUBLE) AS long FROM (SELECT * REPLACE (lower(instant_bookable_flag) = 'true' AS instant_bookable_flag) FROM {WIDE_SQL})""",
 )
 def fact_append(spark, sf):
-    """A star of the earlier half of the listings and the later half appended, through the natural keys."""
+    """A star of the earlier listings, two batches of later ones appended, one of them twice; through the natural keys."""
     wide = wide_listings(spark, sf)
-    day = F.coalesce(F.col("last_review") < 19980501, F.lit(False))
-    star = append_facts(wide.where(~day), build_star(wide.where(day)))
+    late = F.coalesce(F.col("last_review") >= 19980501, F.lit(False))
+    store = StarStore(spark, scratch_path(spark, "star"))
+    store.load(build_star(wide.where(~late)))
+    for part in (0, 1, 1):
+        store.append(wide.where(late & (F.col("publication_key") % 2 == part)), f"late-{part}")
+    star = {n: store.read(n) for n in LOAD_ORDER}
     fact = star["fact_publication"]
     for name, key in (("dim_property", "property_key"), ("dim_host", "host_key"), ("dim_property_location", "property_location_key")):
         fact = fact.join(star[name], key)

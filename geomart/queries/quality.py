@@ -82,12 +82,13 @@ def dq_violations(spark, sf):
 
 @query(
     "dq_gate_split",
-    f"""SELECT len(failed) = 0 AS good, count(*) AS n FROM (SELECT {_labels} AS failed FROM {_rows}) GROUP BY 1""",
+    f"""SELECT c_custkey, len(failed) = 0 AS good, array_to_string(failed, '|') AS failed
+    FROM (SELECT c_custkey, {_labels} AS failed FROM {_rows})""",
 )
 def dq_gate_split(spark, sf):
-    good, bad = Q.split(_customers(spark, sf), SUITE)
-    sides = good.select(F.lit(True).alias("good")).unionByName(bad.select(F.lit(False).alias("good")))
-    return sides.groupBy("good").agg(F.count(F.lit(1)).alias("n"))
+    good, bad = Q.split(_customers(spark, sf), Q.Suite("rows", tuple(e for e in SUITE.expectations if e.column != "c_phone")))
+    good = good.select("c_custkey", F.lit(True).alias("good"), F.lit("").alias("failed"))
+    return good.unionByName(bad.select("c_custkey", F.lit(False).alias("good"), F.array_join("failed_checks", "|").alias("failed")))
 
 
 @query(

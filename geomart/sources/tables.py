@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from geomart.operators.star import LOAD_ORDER
+from geomart.operators.star import LOAD_ORDER, check_star
 from geomart.session import materialize
 
 
@@ -79,6 +79,13 @@ class JdbcTables:
             reader = reader.options(partitionColumn=column, lowerBound=low, upperBound=high, numPartitions=tasks)
         return reader.load()
 
+    def exists(self, name: str) -> bool:
+        try:
+            self.read(name)
+        except PySparkException:
+            return False
+        return True
+
     def query(self, sql: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(url=self.url, query=sql, **self.properties).load()
 
@@ -100,13 +107,18 @@ def load_star(
 ) -> list[str]:
     """Full refresh: empty the children first, then load the parents first.
 
-    Every table is computed into the scratch folder before the target is touched, so a
-    failure leaves the old tables in place. Tables that are not given or have no rows are
+    Every table is computed into the scratch folder and its keys are checked before the target is touched, so a
+    failure or a broken key leaves the old tables in place. Tables that are not given or have no rows are
     skipped. Loading twice gives the same as once. ``ready`` names tables that already are
-    plain scans of something other than the target.
+    plain scans of something other than the target. A target that loads all tables at once (:class:`StarStore`) does so;
+    in others a failure between two tables leaves the earlier ones loaded.
     """
+    if hasattr(target, "load"):
+        return target.load(tables)
     staged = {n: tables[n] if n in ready else materialize(tables[n], n) for n in load_order if n in tables}
     given = [n for n, df in staged.items() if not df.isEmpty()]
+    there = {n: target.read(n) for n in load_order if n not in given and target.exists(n)}
+    check_star(staged | there)
     for name in reversed(given):
         target.create_empty(name, staged[name].schema)
     for name in given:

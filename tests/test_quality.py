@@ -38,7 +38,9 @@ def test_one_scan_per_suite(spark, tmp_path):
 
 
 def test_split_and_gate(spark):
-    good, bad = Q.split(data(spark), SUITE)
+    with pytest.raises(Q.QualityError, match="missing"):
+        Q.split(data(spark), SUITE)  # no row could be told to pass
+    good, bad = Q.split(data(spark), Q.Suite("present", SUITE.expectations[:3]))
     assert rows(good) == [(0, "a"), (10, None)]
     assert {(r.v, tuple(r.failed_checks)) for r in bad.collect()} == {
         (11, (f"{Q.BETWEEN}:v", f"{Q.IN_SET}:g")),
