@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geomart.operators.quality import BETWEEN, IN_SET, NOT_NULL, Expectation, Suite
 from geomart.queries.base import null_every, null_every_sql, query, table
 from geomart.session import scratch_path
 from geomart.streaming import consume as S
+from geomart.streaming import log as L
+from geomart.streaming.batches import close_batches, deliver_batches, finish
 from geomart.streaming.records import publish_folder, to_records
 
 
@@ -139,3 +142,104 @@ def stream_dead_letter(spark, sf):
     good = spark.read.parquet(f"{base}/out").select("key", "event_id")
     both = dead.unionByName(good, allowMissingColumns=True)
     return both.withColumn("event_id", F.coalesce("event_id", F.lit(-1)))
+
+
+CHECKS = Suite(
+    "events",
+    (
+        Expectation(NOT_NULL, "event_type"),
+        Expectation(IN_SET, "event_type", value_set=("click", "view", "purchase")),
+        Expectation(BETWEEN, "value", 20, 90),
+    ),
+)
+_failed = f"""list_filter([CASE WHEN t IS NULL THEN '{CHECKS.expectations[0].label}' END,
+  CASE WHEN t NOT IN ('click', 'view', 'purchase') THEN '{CHECKS.expectations[1].label}' END,
+  CASE WHEN value < 20 OR value > 90 THEN '{CHECKS.expectations[2].label}' END], lambda x: x IS NOT NULL)"""
+_checked = f"""(SELECT event_id, event_id % 13 = 0 AS lost, {_failed} AS failed FROM (SELECT event_id, value, {_type} AS t FROM events))"""
+
+
+def _checked_events(spark, sf, name):
+    """The events, some of them unreadable, through a log topic and the suite; the folders written."""
+    base = scratch_path(spark, name)
+    records = to_records(_events(spark, sf), "event_id").withColumns(
+        {"value": F.when(F.col("key").cast("long") % 13 == 0, F.substring("value", 2, 9)).otherwise(F.col("value"))}
+    )
+    records.write.parquet(f"{base}/topic")
+    folders = {n: f"{base}/{n}" for n in ("out", "dead", "quarantine", "counters")}
+    run = S.consume(
+        S.read_folder(spark, f"{base}/topic", max_files=2),
+        EVENT,
+        folders["out"],
+        folders["dead"],
+        f"{base}/position",
+        suite=CHECKS,
+        quarantine=folders["quarantine"],
+        counters=folders["counters"],
+    )
+    run.awaitTermination()
+    return folders
+
+
+@query(
+    "stream_quality",
+    f"""SELECT event_id, CASE WHEN lost THEN 'dead' WHEN len(failed) > 0 THEN 'quarantine' ELSE 'out' END AS went,
+      CASE WHEN lost THEN '' ELSE array_to_string(failed, '|') END AS failed FROM {_checked}""",
+)
+def stream_quality(spark, sf):
+    folders = _checked_events(spark, sf, "quality")
+    went = None
+    for name in ("out", "dead", "quarantine"):
+        df = spark.read.parquet(folders[name])
+        failed = F.array_join("failed_checks", "|") if name == "quarantine" else F.lit("")
+        part = df.select(F.col("key").cast("long").alias("event_id"), F.lit(name).alias("went"), failed.alias("failed"))
+        went = part if went is None else went.unionByName(part)
+    return went
+
+
+@query(
+    "stream_quality_counters",
+    f"""SELECT 'read' AS counter, count(*) AS n FROM {_checked} UNION ALL
+    SELECT 'unreadable', count(*) FROM {_checked} WHERE lost UNION ALL
+    SELECT 'quarantined', count(*) FROM {_checked} WHERE NOT lost AND len(failed) > 0 UNION ALL
+    SELECT 'delivered', count(*) FROM {_checked} WHERE NOT lost AND len(failed) = 0 UNION ALL
+    SELECT unnest(failed), count(*) FROM {_checked} WHERE NOT lost GROUP BY 1""",
+)
+def stream_quality_counters(spark, sf):
+    """The counters of all micro-batches added up."""
+    counters = spark.read.parquet(_checked_events(spark, sf, "counters")["counters"])
+    own = F.inline(F.array(*[F.struct(F.lit(c).alias("counter"), F.col(c).alias("n")) for c in ("read", "unreadable", "quarantined", "delivered")]))
+    both = counters.select(own).unionByName(counters.select(F.explode("failed").alias("counter", "n")))
+    return both.groupBy("counter").agg(F.sum("n").alias("n"))
+
+
+@query(
+    "log_consume",
+    f"""SELECT CAST(event_id AS VARCHAR) AS key, event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts, user_id,
+      {_type} AS event_type, value FROM events""",
+)
+def log_consume(spark, sf):
+    """The events through a partitioned log, in two publications and two runs from one checkpoint."""
+    base = scratch_path(spark, "log")
+    for part in (0, 1):
+        L.publish_log(_events(spark, sf).where(F.col("event_id") % 2 == part), f"{base}/topic", "event_id")
+        run = S.consume(L.read_log(spark, f"{base}/topic"), EVENT, f"{base}/out", f"{base}/dead", f"{base}/position")
+        run.awaitTermination()
+    return spark.read.parquet(f"{base}/out").drop("batch_id", "part", "chunk", "rest", "record_position")
+
+
+@query(
+    "stream_batches",
+    """WITH l AS (SELECT event_id % 8 AS lane, count(*) AS n FROM events GROUP BY 1),
+      b AS (SELECT lane, unnest(range(0, n, 100)) // 100 AS batch, n FROM l)
+    SELECT lane, CAST(batch AS BIGINT) AS batch, CASE WHEN (batch + 1) * 100 <= n THEN 'count' ELSE 'time' END AS closed_by,
+      CAST(least(100, n - batch * 100) AS BIGINT) AS n FROM b""",
+)
+def stream_batches(spark, sf):
+    """Batches that 100 rows or 5 seconds close, in 8 lanes of events that come in one micro-batch."""
+    base = scratch_path(spark, "batches")
+    publish_folder(_events(spark, sf), f"{base}/topic", "event_id")
+    records = S.read_folder(spark, f"{base}/topic").select("key", "value")
+    closed = close_batches(records, lane=F.col("key").cast("long"))
+    finish(deliver_batches(closed, f"{base}/out", f"{base}/position"))
+    out = spark.read.parquet(f"{base}/out")
+    return out.groupBy("lane", "batch", "closed_by").agg(F.count_distinct("key").alias("n"))

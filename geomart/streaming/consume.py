@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from geomart.functions.dates import iso_utc_from_key
 from geomart.functions.text import to_whole_number
+from geomart.operators.quality import EXISTS, Suite, require_suite_columns, with_failures
 
 RECORD = "key string, value string"
 POSITION = ("partition", "offset", "timestamp")
@@ -104,6 +105,20 @@ def with_chunk(df: DataFrame, rows: int = CHUNK_ROWS) -> DataFrame:
     return df.withColumn("part", F.spark_partition_id()).withColumn("chunk", F.floor(in_partition / rows))
 
 
+def tally(decoded: DataFrame, marked: DataFrame | None, labels: Sequence[str]) -> DataFrame:
+    """One row of counters of a micro-batch: records read, unreadable, quarantined and delivered, and per check the
+    rows that failed it."""
+    counts = decoded.agg(F.count(F.lit(1)).alias("read"), F.count_if("bad").alias("unreadable"))
+    if marked is None:
+        counts = counts.withColumn("quarantined", F.lit(0).cast("long"))
+    else:
+        held = F.count_if(F.size("failed_checks") > 0).alias("quarantined")
+        per_check = [F.count_if(F.array_contains("failed_checks", label)) for label in labels]
+        failed = F.map_from_arrays(F.array(*[F.lit(x) for x in labels]), F.array(*per_check)).alias("failed")
+        counts = counts.crossJoin(marked.agg(held, failed))  # one row each
+    return counts.withColumn("delivered", F.col("read") - F.col("unreadable") - F.col("quarantined"))
+
+
 def consume(
     records: DataFrame,
     schema: T.StructType,
@@ -113,21 +128,40 @@ def consume(
     *,
     drain: bool = True,
     names: Mapping[str, str] | None = None,
+    suite: Suite | None = None,
+    quarantine: str | None = None,
+    counters: str | None = None,
 ):
     """Start the query: good rows to ``out``, messages that cannot be read to ``dead``.
 
-    Each micro-batch overwrites its own ``batch_id`` folder, so a repeated batch writes the
+    With a ``suite`` each micro-batch passes it row by row: rows that fail a check go to ``quarantine`` with the labels of the
+    checks, the others to ``out``. A suite on a column that messages don't declare is refused at the start. ``counters`` gets
+    one row per micro-batch (see :func:`tally`).
+
+    Each micro-batch overwrites its own ``batch_id`` folder everywhere, so a repeated batch writes the
     same rows again instead of more. ``drain`` takes all that is there and stops;
     otherwise a batch starts every 5 seconds.
     """
+    if (suite is None) != (quarantine is None):
+        raise ValueError("a suite needs a quarantine folder, and the other way round")
+    if suite:
+        require_suite_columns([(names or {}).get(f, f) for f in schema.names], suite)
+    labels = [e.label for e in suite.expectations if e.kind != EXISTS] if suite else []
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         decoded = decode(batch, schema).persist()
         try:
-            good = with_chunk(shape(decoded, schema, names=names))
-            good.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            good, marked = shape(decoded, schema, names=names), None
+            if suite:
+                marked = with_failures(good, suite)
+                passed = F.size("failed_checks") == 0
+                marked.where(~passed).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+                good = marked.where(passed).drop("failed_checks")
+            with_chunk(good).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
             lost = decoded.where("bad").select("key", "value", *[c for c in POSITION if c in decoded.columns])
             lost.write.mode("overwrite").parquet(f"{dead}/batch_id={batch_id}")
+            if counters:
+                tally(decoded, marked, labels).write.mode("overwrite").parquet(f"{counters}/batch_id={batch_id}")
         finally:
             decoded.unpersist()
 

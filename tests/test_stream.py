@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geomart.operators import quality as Q
 from geomart.streaming import consume as S
 from geomart.streaming.records import publish_folder, to_records
 
@@ -103,3 +104,55 @@ def test_chunks_hold_at_most_n_rows(spark):
     chunked = S.with_chunk(spark.range(0, 1050, 1, 4), 100)
     sizes = chunked.groupBy("part", "chunk").count()
     assert sizes.agg(F.max("count"), F.sum("count"), F.count("*")).first() == (100, 1050, 12)
+
+
+CHECKED = Q.Suite("s", (Q.Expectation(Q.BETWEEN, "price", 95, 1000), Q.Expectation(Q.NOT_NULL, "name"), Q.Expectation(Q.EXISTS, "host_id")))
+
+
+def run_checked(spark, base):
+    query = S.consume(
+        S.read_folder(spark, f"{base}/topic"), SCHEMA, f"{base}/out", f"{base}/dead", f"{base}/position",
+        suite=CHECKED, quarantine=f"{base}/held", counters=f"{base}/counters",
+    )
+    query.awaitTermination()
+
+
+def totals(spark, base):
+    c = spark.read.parquet(f"{base}/counters")
+    return tuple(c.agg(*[F.sum(x) for x in ("read", "unreadable", "quarantined", "delivered")]).first())
+
+
+def test_rows_that_fail_a_check_are_quarantined(spark, tmp_path):
+    base = str(tmp_path)
+    publish_folder(sample(spark), f"{base}/topic", "publication_key")
+    run_checked(spark, base)
+    assert rows(spark.read.parquet(f"{base}/out").select("publication_key")) == [(101,), (102,)]
+    held = spark.read.parquet(f"{base}/held").first()
+    assert (held.publication_key, held.failed_checks) == (103, [f"{Q.BETWEEN}:price", f"{Q.NOT_NULL}:name"])
+    assert held.record_position.offset >= 0 and totals(spark, base) == (3, 0, 1, 2)
+    assert spark.read.parquet(f"{base}/counters").first().failed == {f"{Q.BETWEEN}:price": 1, f"{Q.NOT_NULL}:name": 1}
+
+
+def test_a_restart_and_a_repeated_batch_keep_quarantine_and_counters(spark, tmp_path):
+    base = str(tmp_path)
+    publish_folder(sample(spark), f"{base}/topic", "publication_key")
+    run_checked(spark, base)
+    run_checked(spark, base)  # nothing new
+    assert totals(spark, base) == (3, 0, 1, 2)
+    spark.createDataFrame([("9", "bad"), ("8", '{"price": 1, "name": "x"}')], "key string, value string").write.mode("append").parquet(f"{base}/topic")
+    run_checked(spark, base)
+    assert totals(spark, base) == (5, 1, 2, 2)
+    last = max((tmp_path / "position" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    last.unlink()  # as if the driver had died before the last batch was noted as done
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    run_checked(spark, base)
+    assert totals(spark, base) == (5, 1, 2, 2)
+    assert [spark.read.parquet(f"{base}/{n}").count() for n in ("out", "held", "dead")] == [2, 2, 1]
+
+
+def test_suites_that_cannot_be_checked_are_refused(spark, tmp_path):
+    args = spark.readStream.format("rate").load(), SCHEMA, str(tmp_path), str(tmp_path), str(tmp_path)
+    with pytest.raises(Q.QualityError, match="rating"):
+        S.consume(*args, suite=Q.Suite("s", (Q.Expectation(Q.NOT_NULL, "rating"),)), quarantine="q")
+    with pytest.raises(ValueError, match="quarantine"):
+        S.consume(*args, suite=CHECKED)
