@@ -9,6 +9,7 @@ from geomart.functions import text as X
 from geomart.operators import columns as C
 from geomart.operators.keys import category_encode, dense_key
 from geomart.operators.mapping import category_map, changed_count, fuzzy_standardize
+from geomart.operators.matching import match_by_table
 from geomart.operators.profile import impute_median_mode
 from geomart.plans.cleaning import clean_listings, clean_places
 from geomart.queries.base import SUPPLIER_AT, coords, coords_sql, null_every, null_every_sql, query, table
@@ -481,3 +482,24 @@ def listings_clean(spark, sf):
     files.write_csv(raw, landed, encoding="ISO-8859-1")
     clean = clean_listings(files.read_csv(spark, landed, raw.schema).drop(files.CORRUPT))
     return clean.withColumn("last_review", F.date_format("last_review", "yyyy-MM-dd"))
+
+
+_words = "SELECT DISTINCT w FROM (SELECT unnest(string_split(text, ' ')) AS w FROM {}) WHERE regexp_matches(w, '^[!-~]+$')"
+
+
+@query(
+    "fuzzy_blocked",
+    f"""WITH v AS ({_words.format("conversations")}), c AS ({_words.format("benchmark")}),
+      s AS (SELECT v.w, c.w AS choice, 100.0 * (1 - levenshtein(v.w, c.w) / greatest(length(v.w), length(c.w))::DOUBLE) AS score
+        FROM v, c WHERE least(length(v.w), length(c.w)) >= 0.8 * greatest(length(v.w), length(c.w)) - 1e-9),
+      b AS (SELECT w, choice FROM s WHERE score >= 80 QUALIFY row_number() OVER (PARTITION BY w ORDER BY score DESC, choice) = 1)
+    SELECT v.w AS word, coalesce(b.choice, v.w) AS standard FROM v LEFT JOIN b ON b.w = v.w""",
+)
+def fuzzy_blocked(spark, sf):
+    """Words of the conversations, each by the word of the benchmark that comes nearest."""
+
+    def words(name):
+        every = table(spark, sf, name).select(F.explode(F.split("text", " ")).alias("word"))
+        return every.where(F.col("word").rlike("^[!-~]+$")).distinct()
+
+    return match_by_table(words("conversations"), "word", dense_key(words("benchmark"), "place", ["word"]), "word", "place", 80, out="standard")
