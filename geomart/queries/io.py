@@ -7,8 +7,9 @@ from pyspark.sql import types as T
 
 from geomart.operators.dedupe import collect_new, enrich, union_all, work_list
 from geomart.queries.base import PART_AT, coords, coords_sql, null_every, query, table
-from geomart.session import scratch_path
+from geomart.session import materialize, scratch_path
 from geomart.sources import files
+from geomart.sources.seen import SeenIds
 from geomart.sources.tables import FolderTables, first_rows, replace_append
 
 
@@ -116,6 +117,29 @@ def incremental(spark, sf):
     return collect_new(events, seen, "pair", ["ts", "event_id"]).select("event_id", "pair")
 
 
+@query(
+    "incremental_bucketed",
+    """WITH e AS (SELECT event_id, ts, user_id || '-' || event_type || '-' || (props->>'k') AS pair FROM events)
+    SELECT event_id, pair, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 1 ELSE 2 END AS collected FROM e
+    QUALIFY row_number() OVER (PARTITION BY pair ORDER BY CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 1 ELSE 2 END, ts, event_id) = 1""",
+)
+def incremental_bucketed(spark, sf):
+    """Two batches of events, the second one overlapping the first, each against the ids seen before."""
+    pair = F.concat_ws("-", F.col("user_id").cast("string"), "event_type", F.get_json_object("props", "$.k"))
+    events = table(spark, sf, "events").select("event_id", "ts", pair.alias("pair"))
+    base = scratch_path(spark, "seen")
+    seen = SeenIds(spark, "seen_" + base.rsplit("-", 1)[-1], "pair", 16).create(events, f"{base}/ids")
+    first = events.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
+    collected = None
+    for number, batch in ((1, first), (2, events)):
+        new = materialize(seen.fresh(batch, ["ts", "event_id"]), "collected")
+        seen.add(new)
+        part = new.select("event_id", "pair", F.lit(number).alias("collected"))
+        collected = part if collected is None else collected.unionByName(part)
+    spark.sql(f"DROP TABLE {seen.table}")  # the ids stay in their folder
+    return collected
+
+
 @query(
     "union_all_sources",
     """SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment FROM customer UNION ALL
