@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from geomart.operators import profile as P
 from geomart.operators.dedupe import duplicate_count
+from geomart.operators.increments import ProfileStore
 from geomart.queries.base import null_every, null_every_sql, query, table
+from geomart.session import scratch_path
 
 
 @query(
@@ -263,3 +265,25 @@ def boxplot(spark, sf):
 def kde(spark, sf):
     curve = P.kde_curve(table(spark, sf, "events"), "value")
     return curve.select("point", F.round("x", 4).alias("x"), F.round("density", 6).alias("density"))
+
+
+_batched = ("l_quantity", "l_extendedprice", "l_discount", "l_linenumber")
+
+
+@query(
+    "profile_incremental",
+    f"""WITH l AS (SELECT * REPLACE ({null_every_sql(7, "l_orderkey", "l_discount")} AS l_discount) FROM lineitem) """
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS null_count, round(avg({c}), 6) AS mean,
+      round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS least, CAST(max({c}) AS DOUBLE) AS most FROM l"""
+        for c in _batched
+    ),
+)
+def profile_incremental(spark, sf):
+    """Three batches of line items, one of them added twice, profiled from their kept rows; the exact figures."""
+    lines = table(spark, sf, "lineitem").withColumn("l_discount", null_every(7, "l_orderkey", F.col("l_discount")))
+    store = ProfileStore(spark, scratch_path(spark, "profile"))
+    for part in (0, 1, 2, 1):
+        store.add(f"part-{part}", lines.where(F.col("l_orderkey") % 3 == part), _batched)
+    rounded = {c: F.round(c, 6) for c in ("mean", "std")}
+    return store.profile().withColumns(rounded).select("column_name", "rows", "null_count", "mean", "std", "least", "most")
