@@ -204,7 +204,8 @@ def smallest_ids(distinct: np.ndarray, least: np.ndarray, seed: np.ndarray) -> t
     """For each string of ``LENGTH`` bytes in each piece (in a row) the smallest id of any piece that has it; and where each piece begins in that row.
 
     Pieces with different seeds have no string in common, so a piece that is alone with its
-    seed is a collection of one and its own id the smallest. The others are put in order.
+    seed is a collection of one and its own id the smallest; so is a piece none of whose strings has the hash of
+    another piece's string, as most are where a seed stands in a great many contexts. The others are put in order.
     """
     grid = np.frombuffer(distinct.tobytes(), np.uint8).reshape(-1, WIDTH + 1)
     strings = grid[:, WIDTH].astype(np.int64) - LENGTH + 1
@@ -212,6 +213,7 @@ def smallest_ids(distinct: np.ndarray, least: np.ndarray, seed: np.ndarray) -> t
     out = np.repeat(least, strings)
     _, group, times = np.unique(seed, return_inverse=True, return_counts=True)
     several = np.flatnonzero(times[group] > 1)
+    several = several[share_a_hash(grid, strings, several)]
     several = several[np.argsort(group[several], kind="stable")]
     borders = np.append(np.flatnonzero(np.diff(group[several])) + 1, len(several))
     begin = 0
@@ -225,6 +227,30 @@ def smallest_ids(distinct: np.ndarray, least: np.ndarray, seed: np.ndarray) -> t
     return out, offset
 
 
+def share_a_hash(grid: np.ndarray, strings: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+    """For each of ``pieces`` whether one of its strings has the hash of a string of another of them.
+
+    Two strings taken for one only make their pieces be put in order; equal ones are never missed.
+    """
+    hashes = []
+    for a in range(0, len(pieces), COLLECTION):
+        some = pieces[a : a + COLLECTION]
+        h = _BYTES[grid[some, :WIDTH]]
+        for step, odd in zip((1, 2, 4, 8, 16), (*_ODD, _ODD[0])):
+            h = h[:, :-step] * odd + h[:, step:]
+        h = h[:, : SPAN] * _ODD[1] + h[:, LENGTH - 32 :]  # bytes 0 to 31 and 18 to 49 of each string
+        hashes.append(mix(h)[np.arange(SPAN) < strings[some][:, None]])
+    hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(len(pieces)), strings[pieces])
+    order = np.argsort(hashes, kind="stable")  # equal hashes stay in the order of their pieces
+    owner, new = owner[order], np.append(True, np.diff(hashes[order]) != 0)[: len(order)]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:] - 1, len(order) - 1)[: len(first)]
+    met = np.zeros(len(pieces), bool)
+    met[owner[np.repeat(owner[first] != owner[last], last - first + 1)]] = True
+    return met
+
+
 def compared(grid: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """As :func:`smallest_ids`, by the order of all suffixes."""
     size = grid[:, WIDTH].astype(np.int64)

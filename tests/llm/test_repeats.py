@@ -58,3 +58,50 @@ def test_ranges(spark):
     rows = {r.doc_id: r for r in R.ranges(df).collect()}
     assert [tuple(x) for x in rows[2].removed] == [(1, 101)] and bytes(rows[2].kept) == b"#!"
     assert rows[1].removed == [] and R.summary(df.where("false")).count() == 0
+
+
+def smallest(pieces, least):
+    """By a table of all strings."""
+    low = {}
+    for p, i in zip(pieces, least):
+        for a in range(len(p) - 49):
+            low[p[a : a + 50]] = min(i, low.get(p[a : a + 50], i))
+    return [low[p[a : a + 50]] for p in pieces for a in range(len(p) - 49)]
+
+
+def as_rows(pieces):
+    grid = np.array([list(p.ljust(R.WIDTH, b"\0")) + [len(p)] for p in pieces], np.uint8)
+    return np.frombuffer(grid.tobytes(), f"S{R.WIDTH + 1}")
+
+
+@pytest.mark.parametrize("letters", [2, 26])
+def test_one_seed_in_many_contexts(letters):
+    r = np.random.default_rng(letters)
+    make = lambda n: (97 + r.integers(0, letters, n)).astype(np.uint8).tobytes()
+    base = [make(34) + b"0123456789abcdef" + make(34) for _ in range(300)]
+    pieces = [p[a : a + r.integers(50, 85 - a)] for p in base for a in r.integers(0, 20, 3).tolist()] + [b"a" * 84, b"a" * 60]
+    pieces = sorted(set(pieces))
+    least = r.integers(0, 1000, len(pieces))
+    low, offset = R.smallest_ids(as_rows(pieces), least, np.zeros(len(pieces), np.uint32))
+    assert low.tolist() == smallest(pieces, least.tolist())
+    assert offset.tolist() == np.cumsum([0] + [len(p) - 49 for p in pieces])[:-1].tolist()
+
+
+def test_a_seed_in_100_000_contexts_is_not_put_in_order(monkeypatch):
+    """All pieces differ in every string but for a few that are shared; only these are put in order."""
+    r = np.random.default_rng(1)
+    n = 100_000
+    grid = r.integers(97, 123, (n, R.WIDTH + 1)).astype(np.uint8)
+    grid[:, 34:50] = np.frombuffer(b"0123456789abcdef", np.uint8)
+    grid[n // 2 : n // 2 + 50, :60] = grid[:50, :60]
+    grid[:, 60], grid[n // 2 : n // 2 + 50, 60] = 97, 98
+    grid[:, R.WIDTH] = R.WIDTH
+    ordered = []
+    real = R.compared
+    monkeypatch.setattr(R, "compared", lambda g, x: (ordered.append(len(g)), real(g, x))[1])
+    low, offset = R.smallest_ids(np.frombuffer(grid.tobytes(), f"S{R.WIDTH + 1}"), np.arange(n), np.zeros(n, np.uint32))
+    assert sum(ordered) == 100
+    low = low.reshape(n, R.SPAN)
+    want = np.repeat(np.arange(n)[:, None], R.SPAN, 1)
+    want[n // 2 : n // 2 + 50, :11] = np.arange(50)[:, None]
+    assert (low == want).all()
