@@ -198,6 +198,8 @@ def encode_blocks(ids: np.ndarray, block: int) -> list[bytes]:
     lanes = -(-len(ids) // block)
     if not lanes:
         return []
+    if ids.max() >= len(MAGNITUDE):
+        raise ValueError(f"id {ids.max()}: the coder takes ids below {len(MAGNITUDE)}")
     grid = np.zeros(lanes * block, np.int32)
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, block).T)

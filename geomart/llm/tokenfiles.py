@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ END_ID = 2
 CACHE_WORDS = 700_000
 SLICE_CHARS = 8_000_000
 
-SHARD = "path string, least long, ids long"
+SHARD = "path string, range int, ids long"
 ROW = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -190,7 +191,6 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_I
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, writer, sink = words(tokenizer_path), None, None
         path = f"{folder}/{uuid.uuid4().hex}.tok"
-        first: int | None = None
         for b in batches:
             ids, part_texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
             begin = 0
@@ -203,19 +203,21 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_I
                     if writer is None:
                         fs, at = open_fs(path)
                         fs.create_dir(at.rpartition("/")[0], recursive=True)
-                        sink, first = fs.open_output_stream(at, compression=None), doc_id
+                        sink = fs.open_output_stream(at, compression=None)
                         writer = Writer(sink)
                     writer.add(doc_id, np.concatenate((np.frombuffer(raw, "<u4"), end)))
                 begin = stop
         if writer is not None:
             writer.close()
             sink.close()
-            yield pa.RecordBatch.from_pydict({"path": [path], "least": [first], "ids": [writer.total]}, schema=target)
+            number = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_pydict({"path": [path], "range": [number], "ids": [writer.total]}, schema=target)
 
-    # equal ids stay in one shard, so the order of the shards is that of their first ids
-    sorted_ = texts.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    # A hash of the text spreads rows without an id, or with one that many repeat; tasks are numbered in the order of their ranges.
+    tied = texts.withColumn("tie", F.xxhash64("text"))
+    sorted_ = tied.repartitionByRange(shards, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie")
     written = sorted_.mapInArrow(released(run), SHARD).collect()  # one row per shard
-    written.sort(key=lambda r: (r.least is not None, r.least))
+    written.sort(key=lambda r: r.range)
     starts = np.cumsum([0] + [r.ids for r in written]).tolist()
     return [(r.path, s) for r, s in zip(written, starts)]
 
@@ -245,7 +247,7 @@ def round_trip(docs: DataFrame, tokenizer_path: str, folder: str | None = None,
     """Write the ids of all documents and return what reading the files gives.
 
     A null text is empty and has only its end id; documents without id come first; rows
-    that repeat an id are in the order of their texts; an empty table gives no file and no rows; further
+    that repeat an id are in the order of a hash of their texts; an empty table gives no file and no rows; further
     columns are not read; a document of any length may span blocks and groups.
     """
     spark = docs.sparkSession

@@ -10,6 +10,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from geomart.llm import tokenfiles as K
 from geomart.llm.rangecoder import decode_blocks, encode_blocks
 
@@ -24,7 +26,8 @@ def tokenizer():
 
 def test_files_hold_what_the_library_gives(docs, texts, tmp_path):
     t, start, want = tokenizer(), 0, []
-    for i, text in sorted(texts, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+    tie = {r.text or "": r.h for r in docs.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    for i, text in sorted(texts, key=lambda r: (r[0] is not None, r[0] or 0, tie[r[1]], r[1])):
         ids = np.array(t.encode(text, add_special_tokens=False).ids + [2], "<u4")
         want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
@@ -85,3 +88,21 @@ def test_shard_reads_back_and_shows_damage():
 
 def test_empty_table(docs, tmp_path):
     assert K.round_trip(docs.where("false"), PATH, str(tmp_path)).count() == 0
+
+
+def test_rows_without_an_id_are_dealt_to_many_shards(spark, tmp_path):
+    df = spark.range(600).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('some words ', repeat('x y ', 200), id) AS text")
+    shards = K.write(df, PATH, str(tmp_path), shard_bytes=50_000)
+    assert len(shards) > 5
+    rows = K.read(spark, shards).collect()
+    assert len(rows) == 600 and sorted(r.start for r in rows)[0] == 0
+    at = 0
+    for r in sorted(rows, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+
+
+def test_ids_beyond_the_coder_are_refused():
+    assert decode_blocks(encode_blocks(np.array([131_070, 0]), 4), [2]).tolist() == [131_070, 0]
+    with pytest.raises(ValueError, match="131072"):
+        encode_blocks(np.array([131_071, 131_072]), 4)
