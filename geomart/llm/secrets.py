@@ -10,9 +10,12 @@ runs over the stretches between such tokens, which gives the best path of the wh
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,7 @@ KINDS = ("assign", "access", "hex", "crf")
 #: Documents, at most, that the field learns from (chosen by hash of the id).
 SAMPLE_ROWS = 4000
 CONTEXT = 12
+REDRAWN = 12  # times that a hit is seen with a value of another kind
 SLICE_CHARS = 1_000_000
 
 OUT, BEGIN, IN = 0, 1, 2
@@ -287,7 +291,7 @@ def windows(texts: list[str], other_each: int = 400) -> tuple[np.ndarray, np.nda
     kinds = shape // 3 % 16
     hard = np.flatnonzero((tags == OUT) & (shape < 384) & (shape // 48 >= 3) & (kinds & 4 > 0) & (kinds & 3 > 0))
     hard = hard[np.unique(np.linspace(0, len(hard) - 1, other_each).astype(int))] if len(hard) else hard
-    middle = np.concatenate((hit, hit, other, hard))
+    middle = np.concatenate((hit, hit, np.tile(hit, REDRAWN), other, hard))
     at = middle[:, None] + np.arange(-CONTEXT, CONTEXT + 1)
     inside = (at >= 0) & (at < len(tags))
     at = np.clip(at, 0, max(0, len(tags) - 1))
@@ -298,11 +302,28 @@ def windows(texts: list[str], other_each: int = 400) -> tuple[np.ndarray, np.nda
     wanted = tags[at]
     wanted[:, 0] = np.where(wanted[:, 0] == IN, BEGIN, wanted[:, 0])  # a window may begin within a secret
     features = tok.features[:, at]
-    # each hit is seen once with its neighbouring words hidden, so that its shape has to tell
+    # Each hit is seen once with its neighbouring words hidden, so that its shape has to tell, and some times among words from
+    # elsewhere and with another value in its place, so that the field learns values that the rules have no pattern for.
     features[1:4, len(hit) : 2 * len(hit)] = 0
+    drawn = drawn_shapes()
+    again = slice(2 * len(hit), (2 + REDRAWN) * len(hit))
+    features[1:4, again] = tok.features[1:4, (at[again] * 7919 + 101) % max(1, len(tags))]
+    value = (wanted[again] != OUT) & (features[0, again] < 384)
+    pick = (len(tags) + np.arange(REDRAWN * len(hit))[:, None] * 37 + np.arange(2 * CONTEXT + 1) * 101) % len(drawn)
+    features[0, again] = np.where(value, drawn[pick], features[0, again])
     return features, wanted, inside
 
 
+@lru_cache(maxsize=1)
+def drawn_shapes(each: int = 40, seed: int = 1) -> np.ndarray:
+    """Shapes of random values over the alphabets that keys are made of, 16 to 64 characters long."""
+    r = random.Random(seed)
+    upper, lower, digits = string.ascii_uppercase, string.ascii_lowercase, string.digits
+    alphabets = (upper + lower + digits, lower + digits, upper + digits, upper + lower + digits + "_-", upper + lower + digits + "+/")
+    values = ["".join(r.choice(a) for _ in range(r.randint(16, 64))) for a in alphabets for _ in range(each)]
+    return tokenize(values).features[0]
+
+
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field:
     """A field taught by what the rules find in at most ``sample_rows`` documents, chosen by hash of the id.
 
