@@ -67,3 +67,20 @@ def test_ties_nulls_and_refusals(spark):
     assert rows(M.match_by_table(df, "v", table.limit(0), "c", "at", 80)) == rows(df)
     with pytest.raises(ValueError, match="weighted"):
         M.candidates(df.select("v"), table.select("c"), 80, "weighted")
+
+
+def test_indel_edits_apart_from_each_other(spark):
+    """A letter taken out and one put in elsewhere are two edits of the indel score."""
+    got = M.candidates(one(spark, ["axbcdfgh"], "v"), one(spark, ["abcdefgh"], "c"), 87.5, "indel")
+    assert rows(got) == [("axbcdfgh", "abcdefgh")]
+
+
+def test_words_meet_by_few_pieces(spark):
+    r = random.Random(7)
+    words = sorted({"".join(r.choice("aeioulmnrst") for _ in range(r.randint(5, 12))) for _ in range(3000)})
+    df = one(spark, words, "w")
+    edits = lambda a, b: F.floor(F.greatest(a, b) * 0.2 + M.TINY).cast("int")
+    left = M.pieces(df.withColumnRenamed("w", "value"), "value", 0.8, edits, False)
+    right = M.pieces(df.withColumnRenamed("w", "choice"), "choice", 0.8, edits, True)
+    assert left.count() < 25 * len(words)
+    assert left.join(right, ["m", "most", "i", "piece"]).count() < 0.02 * len(words) ** 2
