@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geomart.functions.fuzzy import SCORERS
+from geomart.session import materialize
 
 # The groups in their order of precedence, and the group of all other values.
 CATEGORY_GROUPS = (
@@ -79,7 +80,8 @@ def fuzzy_standardize(
 ) -> DataFrame:
     """Replace each value by its best choice when the score reaches ``cutoff``, else keep it.
 
-    Only distinct values are scored; the result is joined back. ``cutoff=None`` always
+    Only distinct values are scored; the result is written and joined back, so that the planner knows its size: few
+    values are broadcast, and the rows aren't shuffled by a column that may hold a handful of values. ``cutoff=None`` always
     takes the best choice. NULL stays NULL.
     """
     out = out or column
@@ -87,7 +89,7 @@ def fuzzy_standardize(
     matched = best_matches(distinct, column, choices, scorer)
     if cutoff is not None:
         matched = matched.where(F.col("score") >= cutoff)
-    matched = matched.select(column, F.col("match").alias("__match"))
+    matched = materialize(matched.select(column, F.col("match").alias("__match")), "matches")
     joined = df.join(matched, column, "left")
     order = [c for c in df.columns if c != out] if out != column else df.columns
     return joined.withColumn(out, F.coalesce("__match", column)).select(*order, *([] if out in order else [out]))

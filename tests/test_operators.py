@@ -259,3 +259,18 @@ def test_skew_rule(spark):
 def test_most_active_year_tie(spark):
     df = spark.sql("SELECT explode(array(date'2021-01-01', date'2020-01-01', NULL)) AS d")
     assert tuple(P.most_active_year(df, "d").first()) == (2020, 1)
+
+
+def test_fuzzy_standardize_does_not_shuffle_rows_by_few_values(spark):
+    names = ["Manhattan", "Brooklyn"]
+    df = spark.range(400_000).select("id", *[F.concat(F.lit(f"{c} "), F.col("id").cast("string")).alias(c) for c in "abcd"],
+                                     F.when(F.col("id") % 2 == 0, "Manhatan").when(F.col("id") % 3 == 0, "brooklin").alias("v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64KB")  # as a large table has with the usual one
+    try:
+        done = fuzzy_standardize(df, "v", names, 80, "levenshtein")
+        plan = done._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert {r.v: r["count"] for r in done.groupBy("v").count().collect()} == {"Manhattan": 200_000, "brooklin": 66_667, None: 133_333}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
