@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geomart.functions.dates import date_from_key, date_parts
 from geomart.functions.text import is_true_text, to_number, to_whole_number
@@ -52,8 +53,8 @@ def verified_flag(c: Column) -> Column:
     return F.coalesce(true, F.lit(False))
 
 
-def coordinate(c: Column) -> Column:
-    return to_number(c).cast("decimal(10,7)")
+def coordinate(c: Column, kind: T.DataType | None = None) -> Column:
+    return to_number(c, kind).cast("decimal(10,7)")
 
 
 def host_members(df: DataFrame, order_by: list[str]) -> DataFrame:
@@ -76,8 +77,8 @@ def location_members(df: DataFrame) -> DataFrame:
     rows = require_columns(df, LOCATION_COLUMNS).select(
         F.col("neighbourhood_group").alias("listing_neighbourhood_group"),
         F.col("neighbourhood").alias("listing_neighbourhood"),
-        coordinate(F.col("lat")).alias("listing_lat"),
-        coordinate(F.col("long")).alias("listing_long"),
+        coordinate(F.col("lat"), df.schema["lat"].dataType).alias("listing_lat"),
+        coordinate(F.col("long"), df.schema["long"].dataType).alias("listing_long"),
     )
     return rows.dropna(subset=["listing_lat", "listing_long"]).distinct()
 
@@ -89,11 +90,11 @@ def dim_location(df: DataFrame) -> DataFrame:
 
 def property_members(df: DataFrame, *keys: str) -> DataFrame:
     """One row per publication, with the columns ``keys`` besides."""
-    rows = df.withColumnRenamed("name", "property_name")
-    return require_columns(rows, [*keys, "publication_key", *PROPERTY_COLUMNS]).withColumns(
+    rows = require_columns(df.withColumnRenamed("name", "property_name"), [*keys, "publication_key", *PROPERTY_COLUMNS])
+    return rows.withColumns(
         {
             "instant_bookable_flag": is_true_text(F.col("instant_bookable_flag")),
-            "construction_year": to_whole_number(F.col("construction_year")),
+            "construction_year": to_whole_number(F.col("construction_year"), rows.schema["construction_year"].dataType),
         }
     )
 
@@ -144,8 +145,10 @@ def fact_publication(df: DataFrame, host: DataFrame, location: DataFrame) -> Dat
     """The facts of listings that already carry ``property_key``: publications and facts are one to one."""
     counts = [count_column(g) for g in CATEGORY_GROUPS]
     lookup = ["property_key", "host_id", "lat", "long", "neighbourhood_group", "neighbourhood", "last_review"]
-    rows = require_columns(df, [*MEASURES, *counts, *lookup]).withColumns(
-        {c: to_number(F.col(c)) for c in MEASURES} | {c: F.col(c).cast("int") for c in counts}
+    rows = require_columns(df, [*MEASURES, *counts, *lookup])
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    rows = rows.withColumns(
+        {c: to_number(F.col(c), kinds[c]) for c in MEASURES} | {c: F.col(c).cast("int") for c in counts}
     )
     keyed = resolve_keys(
         rows,
@@ -157,8 +160,8 @@ def fact_publication(df: DataFrame, host: DataFrame, location: DataFrame) -> Dat
                 {
                     "listing_neighbourhood_group": F.col("neighbourhood_group"),
                     "listing_neighbourhood": F.col("neighbourhood"),
-                    "listing_lat": coordinate(F.col("lat")),
-                    "listing_long": coordinate(F.col("long")),
+                    "listing_lat": coordinate(F.col("lat"), kinds["lat"]),
+                    "listing_long": coordinate(F.col("long"), kinds["long"]),
                 },
             ),
         ],

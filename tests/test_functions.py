@@ -107,3 +107,12 @@ def test_other_scores(spark):
     got = pairs.select(Z.indel_ratio(F.col("a"), F.col("b")), Z.levenshtein_ratio(F.col("a"), F.col("b"))).collect()
     assert tuple(got[0]) == (80.0, 75.0)
     assert tuple(got[1]) == (None, None)
+
+
+def test_typed_numbers_take_no_way_through_text(spark):
+    df = spark.createDataFrame([(1.5, 7), (float("nan"), None), (float("-inf"), -3), (-0.0, 2**60), (None, 0)], "d double, n long")
+    typed = df.select(*[X.to_number(F.col(c), df.schema[c].dataType).alias(c) for c in df.columns])
+    assert "translate" not in typed._jdf.queryExecution().executedPlan().toString()
+    text = df.select(*[X.to_number(F.col(c)).alias(c) for c in df.columns])
+    assert typed.collect() == text.collect()
+    assert [r.d for r in typed.collect()] == [1.5, None, None, 0.0, None]
