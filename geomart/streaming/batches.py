@@ -6,7 +6,8 @@ import time
 from collections.abc import Iterator
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Row
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -16,34 +17,79 @@ from geomart.streaming.consume import BATCH_SECONDS, CHUNK_ROWS
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 BY_COUNT, BY_TIME = "count", "time"
 NAMES = ("lane", "batch", "place", "closed_by")
+PACKED = "batch_row"
+
+
+def packed(c: Column, kind: T.DataType) -> Column:
+    """A value as text (binary stays): pandas would make other numbers of integers beside NULLs, and NULLs of NaN."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return c
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("string")
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: packed(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        entry = lambda e: F.struct(packed(e["key"], kind.keyType).alias("key"), packed(e["value"], kind.valueType).alias("value"))
+        return F.transform(F.map_entries(c), entry)
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[packed(c.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(kind.fields)]))
+    return c.cast("string")
+
+
+def unpacked(c: Column, kind: T.DataType) -> Column:
+    """What :func:`packed` was given."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return c
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(c.cast("long"))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: unpacked(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        entry = lambda e: F.struct(unpacked(e["key"], kind.keyType).alias("key"), unpacked(e["value"], kind.valueType).alias("value"))
+        return F.map_from_entries(F.transform(c, entry))
+    if isinstance(kind, T.StructType):
+        fields = [unpacked(c.getField(f"f{i}"), f.dataType).alias(f.name) for i, f in enumerate(kind.fields)]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    return c.cast(kind)
+
+
+def plain(value, kind: T.DataType):
+    """A packed value as pandas gives it, as the state takes it: structs as tuples, arrays as lists."""
+    if value is None:
+        return None
+    if isinstance(kind, T.StructType):
+        return tuple(plain(value[f.name], f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return [plain(v, kind.elementType) for v in value]
+    return value
 
 
 class Closer(StatefulProcessor):
     """Per lane: the rows that wait, and the number of the open batch.
 
     Less than a whole batch waits in state, so state is bounded by lanes times rows. The timer belongs to the
-    first row that waits.
+    first row that waits. Rows come and go in frames of bounded size, whatever the number of rows of a lane in a micro-batch.
     """
 
     def __init__(self, schema: T.StructType, rows: int, seconds: float):
         self.schema, self.rows, self.wait = schema, rows, int(seconds * 1000)
-        self.out = Row(*NAMES, *schema.names)
 
     def init(self, handle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", self.schema)
         self.open = handle.getValueState("open", "batch long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         number = self.open.get()[0] if self.open.exists() else 0
         held = list(self.waiting.get()) if self.waiting.exists() else []
         began = len(held)
         closed = 0
-        for row in rows:
-            held.append(tuple(row))
-            if len(held) == self.rows:
-                yield from self.closed(key, number + closed, held, BY_COUNT)
-                held, closed = [], closed + 1
+        for frame in rows:
+            held += [plain(row, self.schema) for row in frame[PACKED]]
+            whole = len(held) // self.rows
+            if whole:
+                yield self.closed(key, number + closed, held[: whole * self.rows], BY_COUNT)
+                held, closed = held[whole * self.rows :], closed + whole
         if closed or not self.open.exists():
             self.open.update((number + closed,))
         if held:
@@ -56,16 +102,25 @@ class Closer(StatefulProcessor):
             if held:
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.wait)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         number, held = self.open.get()[0], list(self.waiting.get())
         self.waiting.clear()
         if held:
             self.open.update((number + 1,))
-            yield from self.closed(key, number, held, BY_TIME)
-
-    def closed(self, key, number: int, held: list[tuple], why: str) -> Iterator[Row]:
-        for at, row in enumerate(held):
-            yield self.out(key[0], number, at, why, *row)
+            yield self.closed(key, number, held, BY_TIME)
+
+    def closed(self, key, number: int, held: list[tuple], why: str) -> pd.DataFrame:
+        """The batches from ``number`` on, of which all but the last are whole."""
+        at = range(len(held))
+        return pd.DataFrame(
+            {
+                "lane": [int(key[0])] * len(held),
+                "batch": [number + i // self.rows for i in at],
+                "place": [i % self.rows for i in at],
+                "closed_by": [why] * len(held),
+                PACKED: [tuple(row) for row in held],
+            }
+        )
 
     def close(self) -> None:
         pass
@@ -83,13 +138,13 @@ def close_batches(
     if taken := {c.lower() for c in df.columns}.intersection({*NAMES, "batch_lane"}):
         raise ValueError(f"columns of the stream may not be called {', '.join(sorted(taken))}")
     dealt = F.pmod(lane if lane is not None else F.xxhash64(*df.columns), F.lit(lanes)).cast("long")
-    named = T.StructType([T.StructField("batch_lane", T.LongType()), *df.schema.fields])
-    kept = T.StructType([T.StructField(f.name, f.dataType, True) for f in named.fields])
+    rows_in = df.select(dealt.alias("batch_lane"), packed(F.struct(*df.columns), df.schema).alias(PACKED))
+    kept = rows_in.schema[PACKED].dataType
     kinds = (T.LongType(), T.LongType(), T.LongType(), T.StringType())
-    out = T.StructType([*[T.StructField(n, kind) for n, kind in zip(NAMES, kinds)], *kept.fields])
-    grouped = df.select(dealt.alias("batch_lane"), *df.columns).groupBy("batch_lane")
-    closed = grouped.transformWithState(Closer(kept, rows, seconds), out, "Append", "ProcessingTime")
-    return closed.drop("batch_lane")
+    out = T.StructType([*[T.StructField(n, kind) for n, kind in zip(NAMES, kinds)], T.StructField(PACKED, kept)])
+    closer = Closer(kept, rows, seconds)
+    closed = rows_in.groupBy("batch_lane").transformWithStateInPandas(closer, out, "Append", "ProcessingTime")
+    return closed.select(*NAMES, unpacked(F.col(PACKED), df.schema).alias(PACKED)).select(*NAMES, f"{PACKED}.*")
 
 
 def deliver_batches(closed: DataFrame, out: str, checkpoint: str, every: float = 1.0) -> StreamingQuery:
