@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -106,3 +107,67 @@ def test_ids_beyond_the_coder_are_refused():
     assert decode_blocks(encode_blocks(np.array([131_070, 0]), 4), [2]).tolist() == [131_070, 0]
     with pytest.raises(ValueError, match="131072"):
         encode_blocks(np.array([131_071, 131_072]), 4)
+
+
+def test_many_new_words_take_few_calls():
+    w, given = K.Words(PATH), []
+
+    class Counting:
+        def __init__(self, own):
+            self.own = own
+
+        def __getattr__(self, name):
+            return getattr(self.own, name)
+
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return self.own.encode_batch_fast(texts, **options)
+
+    for name, own in list(vars(w).items()):
+        if hasattr(own, "encode_batch_fast"):
+            setattr(w, name, Counting(own))
+    r, t = random.Random(5), tokenizer()
+    texts = ["".join(r.choice("abcdefghij éß1.") for _ in range(300)) for _ in range(200)]
+    for text, raw in zip(texts, w.encode(texts)):
+        assert np.frombuffer(raw, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+    assert len(set(" ".join(texts).split())) > 3000 and len(given) < 100
+
+
+def test_words_with_marks_and_letters_beyond_ascii():
+    r, t, w = random.Random(6), tokenizer(), K.Words(PATH)
+    letters, marks = "aZéßÀàíÿ÷×ªµİΣ中é­9", "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    some = ["".join(r.choices(letters, k=r.randint(0, 4)) + r.choices(marks, k=r.randint(0, 3))) for _ in range(3000)]
+    texts = ["", "|", "a|", " ", "|| | </w> a</w>", "it's he'll' O'S", "<|endoftext|>.", "<|endoftext|"] + [" ".join(some[i : i + 9]) for i in range(0, 3000, 9)]
+    for _ in range(2):  # the second time all are known
+        for text, raw in zip(texts, w.encode(texts)):
+            assert np.frombuffer(raw, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+        w.encode(texts[:20])
+
+
+def test_an_id_narrows_the_range_once(monkeypatch):
+    from geomart.llm import rangecoder as R
+
+    calls, settle = [], R.Encoder.settle
+    monkeypatch.setattr(R.Encoder, "settle", lambda self: calls.append(1) or settle(self))
+    ids = np.random.default_rng(3).integers(0, 49000, 20 * 64 + 5)
+    payloads = R.encode_blocks(ids, 64)
+    assert len(calls) == 64
+    assert decode_blocks(payloads, [64] * 20 + [5]).tolist() == ids.tolist()
+    assert decode_blocks(payloads[20:], [5]).tolist() == ids[-5:].tolist()
+
+
+def test_long_blocks_of_all_magnitudes_and_damage():
+    r = np.random.default_rng(4)
+    ids = np.concatenate([np.minimum(2.0 ** r.uniform(0, 17, 9000), 131_071).astype(np.int64) - 1, np.full(5000, 131_070), np.zeros(5000, np.int64)])
+    assert decode_blocks(encode_blocks(ids, len(ids)), [len(ids)]).tolist() == ids.tolist()
+    bad = decode_blocks([r.bytes(40), r.bytes(8)], [500, 500])  # gives other ids, which the checksum shows
+    assert len(bad) == 1000 and 0 <= bad.min() and bad.max() <= 131_070
+
+
+def test_a_cache_that_starts_anew_changes_nothing(monkeypatch):
+    w, t = K.Words(PATH), tokenizer()
+    monkeypatch.setattr(K, "CACHE_WORDS", 5)
+    for text in ("one two, three four five six", "two seven. eight", "one two,"):
+        ids, count = w.encode_all(pa.array([text, ""]))
+        assert ids.tolist() == t.encode(text, add_special_tokens=False).ids and count.tolist() == [len(ids), 0]
+    assert len(w.words.names) <= 8
