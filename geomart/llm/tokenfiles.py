@@ -32,11 +32,12 @@ from geomart.session import scratch_path
 
 MAGIC = b"GMTOKEN2"
 BLOCK_IDS = 1024
-GROUP_BLOCKS = 8000  # coded side by side; with a power of 2 the arrays' rows would share cache sets
+GROUP_BLOCKS = 10_000  # coded side by side; with a power of 2 the arrays' rows would share cache sets
 BLOCK_HEAD = struct.Struct("<III")  # ids, bytes, crc32 of the ids as little-endian u32
 FOOT = struct.Struct("<QQQ8s")  # place of the document list, documents, ids
 END_ID = 2
 CACHE_WORDS = 1_500_000
+SHARD_BYTES = 24 << 20  # the more blocks advance together, the less an id costs
 SLICE_BYTES = 20_000_000
 CALL_PARTS = 500
 
@@ -279,7 +280,7 @@ def read_shard(source) -> Iterator[tuple[int | None, np.ndarray]]:
         raise BadShard("another number of ids")
 
 
-def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID, shard_bytes: int = BUCKET_BYTES) -> list[tuple[str, int]]:
+def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> list[tuple[str, int]]:
     """Encode and write all documents; path and first id of each shard, in order."""
     texts = texts_of(docs)
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -340,7 +341,7 @@ def read(spark: SparkSession, shards: list[tuple[str, int]]) -> DataFrame:
     return listed.mapInArrow(released(run), ROW)
 
 
-def round_trip(docs: DataFrame, tokenizer_path: str, folder: str | None = None, shard_bytes: int = BUCKET_BYTES) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer_path: str, folder: str | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write the ids of all documents and return what reading the files gives.
 
     A null text is empty and has only its end id; documents without id come first; rows
