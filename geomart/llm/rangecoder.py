@@ -6,7 +6,7 @@ last and how surely; a small mixer, trained as it goes, turns their confidence a
 the order-0 frequency of the named id into one probability for "it is that id". If it isn't, the
 id is coded by adaptive order-0 frequencies of its magnitude, and its remaining bits, all equally
 likely, are written as they are, from the end of the block backwards. The chances of all magnitudes sum to a power of
-two, so an id narrows the range once, without a division, in arrays over all lanes. All
+two, so an id narrows the range once, without a division (decoding takes one), in arrays over all lanes. All
 numbers are integers, so coding and decoding agree on any machine.
 """
 
